@@ -9,11 +9,28 @@ from pyspark.sql import functions as F
 
 from sthalam.llm.packing import fill_containers, fill_report
 from sthalam.llm.pair_bpe import encode_corpus
+from sthalam.llm.proportions import Proportioned, latest_rules
 from sthalam.session import table
 
 CAPACITY = 2048
 
 
+def _proportioned(spark: SparkSession, folder: str) -> Proportioned:
+    return Proportioned(latest_rules(table(spark, folder, "combo_demog_parsed")), table(spark, folder, "sample_targets"))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _proportioned(spark, folder).report().where("short").select("match_rule")
+
+
+def p2_report(spark: SparkSession, folder: str) -> DataFrame:
+    return _proportioned(spark, folder).report()
+
+
+def p2_sample(spark: SparkSession, folder: str) -> DataFrame:
+    return _proportioned(spark, folder).sample()
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"))
 
@@ -27,9 +44,18 @@ def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     return fill_report(p8_containers(spark, folder), CAPACITY)
 
 
+_P2 = """
+WITH last AS (SELECT row_id, max(struct_pack(k := parsed_at IS NOT NULL, t := parsed_at, r := coalesce(nullif(lower(trim(dotcom_match_rule)), ''), 'unmatched'))).r AS r FROM combo_demog_parsed WHERE row_id IS NOT NULL GROUP BY row_id),
+size AS (SELECT count(*) // 10 AS n FROM last), have AS (SELECT r, count(*) AS available FROM last GROUP BY r),
+need AS (SELECT match_rule, target_share, min_rows, greatest(min_rows, CAST(ceil(CAST(target_share AS DECIMAL(18, 9)) * n) AS BIGINT)) AS needed, coalesce(available, 0) AS available FROM sample_targets CROSS JOIN size LEFT JOIN have ON r = match_rule)
+"""
+P2_SQL = _P2 + "SELECT match_rule FROM need WHERE available < needed"
+P2_REPORT_SQL = _P2 + "SELECT match_rule, target_share, min_rows, needed, available, least(available, needed) AS selected, available < needed AS short FROM need"
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p7_ids": p7_ids, "p8_containers": p8_containers, "p8_report": p8_report}
+    return {"p2_found": p2_found, "p2_report": p2_report, "p2_sample": p2_sample, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_report": p8_report}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p2_found": P2_SQL, "p2_report": P2_REPORT_SQL}
