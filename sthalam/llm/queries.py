@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sthalam.llm.canonical import map_localities, unmatched_values
 from sthalam.llm.packing import fill_containers, fill_report
 from sthalam.llm.pair_bpe import encode_corpus
 from sthalam.llm.proportions import Proportioned, latest_rules
@@ -31,6 +32,14 @@ def p2_sample(spark: SparkSession, folder: str) -> DataFrame:
     return _proportioned(spark, folder).sample()
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return map_localities(table(spark, folder, "dotcom_catalogue"), table(spark, folder, "pincode_locality_merged")).select("rec_id", "locality_id")
+
+
+def p5_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    return unmatched_values(table(spark, folder, "dotcom_catalogue"), p5_found(spark, folder))
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"))
 
@@ -54,7 +63,7 @@ P2_REPORT_SQL = _P2 + "SELECT match_rule, target_share, min_rows, needed, availa
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p2_report": p2_report, "p2_sample": p2_sample, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_report": p8_report}
+    return {"p2_found": p2_found, "p2_report": p2_report, "p2_sample": p2_sample, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_report": p8_report}
 
 
 def oracle_sql() -> dict[str, str]:
