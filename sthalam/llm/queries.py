@@ -11,6 +11,7 @@ from sthalam.llm.canonical import map_localities, unmatched_values
 from sthalam.llm.packing import fill_containers, fill_report
 from sthalam.llm.pair_bpe import encode_corpus
 from sthalam.llm.proportions import Proportioned, latest_rules
+from sthalam.llm.truncation import truncated, truncation_report
 from sthalam.session import table
 
 CAPACITY = 2048
@@ -62,8 +63,16 @@ P2_SQL = _P2 + "SELECT match_rule FROM need WHERE available < needed"
 P2_REPORT_SQL = _P2 + "SELECT match_rule, target_share, min_rows, needed, available, least(available, needed) AS selected, available < needed AS short FROM need"
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return truncated(table(spark, folder, "documents")).where("truncated").select("doc_id")
+
+
+def p9_report(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation_report(truncated(table(spark, folder, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p2_report": p2_report, "p2_sample": p2_sample, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_report": p8_report}
+    return {"p2_found": p2_found, "p2_report": p2_report, "p2_sample": p2_sample, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_report": p8_report, "p9_found": p9_found, "p9_report": p9_report}
 
 
 def oracle_sql() -> dict[str, str]:
