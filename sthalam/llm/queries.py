@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sthalam.llm.address_parts import Gazetteer, gazetteer
 from sthalam.llm.canonical import map_localities, unmatched_values
+from sthalam.llm.linkage import collective_links
 from sthalam.llm.packing import fill_containers, fill_report
 from sthalam.llm.pair_bpe import encode_corpus
 from sthalam.llm.proportions import Proportioned, latest_rules
+from sthalam.llm.same_place import same_doors
 from sthalam.llm.truncation import truncated, truncation_report
 from sthalam.session import table
 
@@ -33,6 +36,14 @@ def p2_sample(spark: SparkSession, folder: str) -> DataFrame:
     return _proportioned(spark, folder).sample()
 
 
+def _lists(spark: SparkSession, folder: str) -> Gazetteer:
+    return gazetteer(table(spark, folder, "pincode_locality_merged"), table(spark, folder, "dotcom_catalogue"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return same_doors(table(spark, folder, "combo_demog"), _lists(spark, folder)).select("row_id_a", "row_id_b")
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return map_localities(table(spark, folder, "dotcom_catalogue"), table(spark, folder, "pincode_locality_merged")).select("rec_id", "locality_id")
 
@@ -41,6 +52,14 @@ def p5_unmatched(spark: SparkSession, folder: str) -> DataFrame:
     return unmatched_values(table(spark, folder, "dotcom_catalogue"), p5_found(spark, folder))
 
 
+def p6_links(spark: SparkSession, folder: str) -> DataFrame:
+    return collective_links(table(spark, folder, "combo_demog"), table(spark, folder, "dotcom_catalogue"), p5_found(spark, folder), _lists(spark, folder))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p6_links(spark, folder).select("row_id", "rec_id")
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"))
 
@@ -72,7 +91,7 @@ def p9_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p2_report": p2_report, "p2_sample": p2_sample, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_report": p8_report, "p9_found": p9_found, "p9_report": p9_report}
+    return {"p2_found": p2_found, "p2_report": p2_report, "p2_sample": p2_sample, "p3_found": p3_found, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p6_found": p6_found, "p6_links": p6_links, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_report": p8_report, "p9_found": p9_found, "p9_report": p9_report}
 
 
 def oracle_sql() -> dict[str, str]:
