@@ -76,13 +76,15 @@ class Names:
                 for d in deletions(n):
                     self.by.setdefault(d, set()).add(n)
 
-    def find(self, word: str) -> str | None:
+    def all(self, word: str) -> list[str]:
         if word in self.names:
-            return word
+            return [word]
         if len(word) < self.least:
-            return None
-        near = {n for d in deletions(word) for n in self.by.get(d, ()) if one_slip_apart(n, word)}
-        return min(near) if near else None
+            return []
+        return sorted({n for d in deletions(word) for n in self.by.get(d, ()) if one_slip_apart(n, word)})
+
+    def find(self, word: str) -> str | None:
+        return next(iter(self.all(word)), None)
 
 
 class Gazetteer:
@@ -113,28 +115,27 @@ class Gazetteer:
                 places[i] = (city or next((self.area[p[:3]] for p in sorted(pins) if p[:3] in self.area), None), pins)
         self.stems = {k: Names({s for s, kind in self.by_name if kind == k}) for k in set(_KIND.values())}
 
-    def locality(self, stem: str, kind: str) -> tuple[str, str] | None:
-        found = self.stems[kind].find(stem)
-        return (found, kind) if found else None
+    def localities(self, stem: str, kind: str) -> list[tuple[str, str]]:
+        return [(found, kind) for found in self.stems[kind].all(stem)]
 
 
-def _kind_at(tokens: list[str], i: int, g: Gazetteer) -> tuple[int, tuple[str, str]] | None:
-    """(first token, locality) of a listed locality that ends at token i: glued, or with its stem in one or two pieces."""
+def _kind_at(tokens: list[str], i: int, g: Gazetteer) -> tuple[int, list[tuple[str, str]]] | None:
+    """(first token, localities one slip away) of a listed locality that ends at token i: glued, or with its stem in one or two pieces."""
     kind = _KIND.get(tokens[i])
     if kind:
         for n in (1, 2):
             if i >= n and all(t.isalpha() for t in tokens[i - n : i]):
-                found = g.locality("".join(tokens[i - n : i]), kind)
+                found = g.localities("".join(tokens[i - n : i]), kind)
                 if found:
                     return i - n, found
         return None
     m = _GLUED.match(tokens[i])
     if m:
-        found = g.locality(m[1], _KIND[m[2]])
+        found = g.localities(m[1], _KIND[m[2]])
         if found:
             return i, found
         if i and len(m[1]) < 6 and tokens[i - 1].isalpha():
-            found = g.locality(tokens[i - 1] + m[1], _KIND[m[2]])
+            found = g.localities(tokens[i - 1] + m[1], _KIND[m[2]])
             if found:
                 return i - 1, found
     return None
@@ -178,7 +179,7 @@ def take_apart(address: str | None, zip_code: str | None, g: Gazetteer) -> dict[
     tokens = text.split()
 
     # listed localities, then cities, become marks in the row of tokens
-    places: list[tuple[str, str]] = []
+    places: list[list[tuple[str, str]]] = []
     i = len(tokens) - 1
     while i >= 0:
         hit = _kind_at(tokens, i, g)
@@ -195,14 +196,15 @@ def take_apart(address: str | None, zip_code: str | None, g: Gazetteer) -> dict[
                 city, tokens[k] = city or found, "|"
     near_pin = out["pin"] or z
     if places:
-        out["locality"] = " ".join(places[0])
-        options = g.by_name[places[0]]
-        fit = [i for i, (c, _) in options.items() if city is None or c is None or c == city]
-        if city is None:
-            by_pin = [i for i in fit if near_pin and near_pin in options[i][1]] or [i for i in fit if near_pin and options[i][0] == g.area.get(near_pin[:3])]
-            fit = by_pin or fit
+        # of several that are one slip away, and of several of one name, the city and then the pin decide
+        options = {(name, i): (c, held) for name in places[0] for i, (c, held) in g.by_name[name].items()}
+        fit = [o for o, (c, _) in options.items() if city is None or c is None or c == city]
+        if near_pin and len(fit) > 1:
+            fit = [o for o in fit if near_pin in options[o][1]] or [o for o in fit if options[o][0] == g.area.get(near_pin[:3])] or fit
+        if len({name for name, _ in fit}) == 1:
+            out["locality"] = " ".join(fit[0][0])
         if len(fit) == 1:
-            out["locality_id"] = str(fit[0])
+            out["locality_id"] = str(fit[0][1])
             city = city or options[fit[0]][0]
     told = city or (g.area.get(out["pin"][:3]) if out["pin"] else None)
     out["city"] = told or (g.area.get(z[:3]) if z else None)

@@ -20,7 +20,7 @@ def deletion_forms(word: Column) -> Column:
 
 def canonical_names(parts: DataFrame) -> DataFrame:
     """(city, family, name, canonical): each spelling of a building's or street's name in a city and the commoner spelling one slip
-    away that it stands for, if there is one: with no other first word, ending of a street or locality; a spelling that isn't rare (more than two rows) only for one
+    away that it stands for, if there is one: with the same first word, kind of street or locality and no other one; a spelling that isn't rare (more than two rows) only for one
     at least twice as common.
     """
     each = parts.where("name IS NOT NULL AND city IS NOT NULL").withColumn("way", F.when(F.col("family") == "S", F.col("ending"))).groupBy("city", "family", "name", "brand", "way", "locality").agg(F.count("*").alias("n"))
@@ -31,7 +31,8 @@ def canonical_names(parts: DataFrame) -> DataFrame:
     agree = lambda c: F.col(f"{c}_a").isNull() | F.col(f"{c}_b").isNull() | (F.col(f"{c}_a") == F.col(f"{c}_b"))
     commoner = (F.col("n_b") > F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("name_b") < F.col("name_a")))
     near = side("a").join(side("b"), ["city", "family", "form"]).where((F.col("name_a") != F.col("name_b")) & commoner & ((F.col("n_a") <= 2) | (F.col("n_b") >= 2 * F.col("n_a"))))
-    near = near.where(agree("brand") & agree("way") & agree("locality") & one_slip(F.col("name_a"), F.col("name_b")))
+    speaks = (F.col("brand_a") == F.col("brand_b")) | (F.col("way_a") == F.col("way_b")) | (F.col("locality_a") == F.col("locality_b"))
+    near = near.where(agree("brand") & agree("way") & agree("locality") & F.coalesce(speaks, F.lit(False)) & one_slip(F.col("name_a"), F.col("name_b")))
     best = near.groupBy("city", "family", F.col("name_a").alias("name")).agg(F.max_by("name_b", F.struct("n_b", "name_b")).alias("better"))
     return names.select("city", "family", "name").join(best, ["city", "family", "name"], "left").select("city", "family", "name", F.coalesce("better", "name").alias("canonical"))
 
