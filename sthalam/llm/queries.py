@@ -12,6 +12,7 @@ from sthalam.llm.canonical import map_localities, unmatched_values
 from sthalam.llm.linkage import collective_links
 from sthalam.llm.packing import fill_containers, fill_report
 from sthalam.llm.pair_bpe import encode_corpus
+from sthalam.llm.pii_crf import personal_spans
 from sthalam.llm.proportions import Proportioned, latest_rules
 from sthalam.llm.same_place import same_doors
 from sthalam.llm.truncation import truncated, truncation_report
@@ -20,6 +21,14 @@ from sthalam.session import table
 CAPACITY = 2048
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_spans(table(spark, folder, "combo_demog")).select("row_id", "kind").distinct()
+
+
+def p1_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_spans(table(spark, folder, "combo_demog"), redact=True)
+
+
 def _proportioned(spark: SparkSession, folder: str) -> Proportioned:
     return Proportioned(latest_rules(table(spark, folder, "combo_demog_parsed")), table(spark, folder, "sample_targets"))
 
@@ -91,7 +100,7 @@ def p9_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p2_report": p2_report, "p2_sample": p2_sample, "p3_found": p3_found, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p6_found": p6_found, "p6_links": p6_links, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_report": p8_report, "p9_found": p9_found, "p9_report": p9_report}
+    return {"p1_found": p1_found, "p1_redacted": p1_redacted, "p2_found": p2_found, "p2_report": p2_report, "p2_sample": p2_sample, "p3_found": p3_found, "p5_found": p5_found, "p5_unmatched": p5_unmatched, "p6_found": p6_found, "p6_links": p6_links, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_report": p8_report, "p9_found": p9_found, "p9_report": p9_report}
 
 
 def oracle_sql() -> dict[str, str]:
