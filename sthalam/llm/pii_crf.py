@@ -15,6 +15,8 @@ from sthalam.llm.pii_labels import KINDS, labelled_rows
 
 #: Rows of the labelled table that the model is trained on, and passes over them.
 TRAIN_ROWS, EPOCHS = 2400, 9
+#: Words of the labelled table in which a feature must occur to have weights.
+LEAST = 4
 LABELS = ["O", *(f"{p}-{k}" for k in KINDS for p in "BI")]
 OFFSETS = (-2, -1, 0, 1, 2)
 TOKEN = re.compile(r"[^\s,;|]+")
@@ -124,12 +126,18 @@ class Crf:
                 for n, i in enumerate(inside):
                     y[i] = 1 + 2 * KINDS.index(kind) + (n > 0)
             gold.append(y)
-        word_rows = [self._ids(word_features(w), True) for w in types]
+        features = [word_features(w) for w in types]
+        often = np.bincount(np.concatenate(words_of), minlength=len(types))
+        seen: dict[str, int] = {}
+        for fs, n in zip(features, often.tolist(), strict=True):
+            for f in fs:
+                seen[f] = seen.get(f, 0) + n
+        word_rows = [self._ids([f for f in fs if seen[f] >= LEAST], True) for fs in features]
         place_index: dict[str, int] = {}
         place_rows = [[[place_index.setdefault(f, len(place_index)) for f in x] for x in p] for p in places_of]
         self.places = place_index
         shape_w, n_l = (len(OFFSETS), len(self.index), self.size), self.size
-        params = [np.zeros(shape_w), np.zeros((len(place_index), n_l)), np.zeros((n_l, n_l)), np.zeros(n_l)]
+        params = [np.zeros(s, np.float32) for s in (shape_w, (len(place_index), n_l), (n_l, n_l), (n_l,))]
         m1, m2 = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         rng, step, batch = np.random.default_rng(seed), 0, 48
         for _ in range(epochs):
@@ -140,7 +148,7 @@ class Crf:
                 grads = self._gradient(params, [words_of[i] for i in part], [place_rows[i] for i in part], [gold[i] for i in part], word_rows)
                 eta = rate / (1 + 0.01 * step)
                 for p, g, a, b in zip(params, grads, m1, m2, strict=True):
-                    g = g / len(part) + decay * p
+                    g = (g / len(part)).astype(np.float32) + np.float32(decay) * p
                     a += 0.1 * (g - a)
                     b += 0.01 * (g * g - b)
                     p -= eta * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
@@ -161,8 +169,7 @@ class Crf:
         b, t = padded.shape
         e = np.zeros((b, t, self.size))
         for o, d in enumerate(OFFSETS):
-            v = np.zeros((len(need), self.size))
-            np.add.at(v, owner, params[0][o][flat])
+            v = _group_sums(params[0][o][flat], owner, len(need))
             lo, hi = max(0, -d), t - max(0, d)
             if hi > lo:
                 ok = padded[:, lo + d : hi + d] >= 0
@@ -202,6 +209,7 @@ class Crf:
                 gt += pair.sum(0)
                 np.add.at(gt, (y[on, k - 1], y[on, k]), -1)
         gw = np.zeros_like(params[0])
+        order = np.argsort(flat, kind="stable")
         for o, d in enumerate(OFFSETS):
             lo, hi = max(0, -d), t - max(0, d)
             if hi <= lo:
@@ -209,7 +217,7 @@ class Crf:
             ok = (padded[:, lo + d : hi + d] >= 0) & live[:, lo:hi]
             g = np.zeros((len(need), self.size))
             np.add.at(g, local[:, lo + d : hi + d][ok], diff[:, lo:hi][ok])
-            np.add.at(gw[o], flat, g[owner])
+            gw[o] = _group_sums(g[owner[order]], flat[order], gw.shape[1])
         gv = np.zeros_like(params[1])
         np.add.at(gv, place_flat, diff[rows, cols])
         return [gw, gv, gt, diff[:, 0].sum(0)]
@@ -281,6 +289,15 @@ class Crf:
 _STORE: dict[int, dict[str, np.ndarray]] = {}
 
 
+def _group_sums(values: np.ndarray, groups: np.ndarray, n: int) -> np.ndarray:
+    """The sum of the rows of each group; `groups` is sorted."""
+    out = np.zeros((n, values.shape[1]))
+    if len(groups):
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(groups) > 0]))
+        out[groups[starts]] = np.add.reduceat(values, starts, axis=0)
+    return out
+
+
 def _lse(x: np.ndarray) -> np.ndarray:
     m = x.max(axis=1)
     return m + np.log(np.exp(x - m[:, None]).sum(axis=1))
