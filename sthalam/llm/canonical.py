@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sthalam.session import cut_lineage
+
 #: Least Jaccard similarity of two values' token sets: one changed, lost, added or exchanged letter in a stem of five or more.
 SIMILARITY = 0.4
 #: Short forms of the words that end a locality's name (fixed values), and those words.
@@ -72,10 +74,11 @@ def similar_values(left: DataFrame, right: DataFrame, similarity: float = SIMILA
     """
     sides = left.select(F.lit(0).alias("side"), F.col("id"), "tokens").unionByName(right.select(F.lit(1).alias("side"), F.col("id"), "tokens"))
     sides = sides.where(F.size("tokens") > 0).dropDuplicates(["side", "id"])
+    sides = cut_lineage(sides)
     each = sides.select("side", "id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     rarity = each.groupBy("token").agg(F.count("*").alias("often"))
     ranked = each.join(rarity, "token").groupBy("side", "id", "n").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("order"))
-    ranked = ranked.withColumn("tokens", F.col("order.token"))
+    ranked = cut_lineage(ranked.select("side", "id", "n", F.col("order.token").alias("tokens")))
     prefix = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1
     heads = ranked.select("side", "id", "n", "tokens", F.posexplode(F.slice("tokens", F.lit(1), prefix.cast("int"))).alias("at", "token"))
     a = heads.where("side = 0").select("token", F.col("id").alias("left_id"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("tokens").alias("ta"))
@@ -112,6 +115,7 @@ def map_localities(records: DataFrame, localities: DataFrame) -> DataFrame:
     listed = entry.groupBy("locality_id", "name").agg(F.max("city").alias("own_city"), F.sort_array(F.collect_set("pin")).alias("pins"))
     listed = listed.withColumn("area", F.substring(F.get("pins", F.lit(0)), 1, 3))
     listed = listed.join(F.broadcast(by_pin), "area", "left").select("locality_id", "name", F.coalesce("own_city", "area_city").alias("l_city"), "pins")  # as many areas as first three figures: at most 1,000
+    by_pin, listed = cut_lineage(by_pin), cut_lineage(listed)
     cities = listed.where("l_city IS NOT NULL").select(F.col("l_city").alias("id")).distinct()
 
     pins = F.filter(F.split(F.concat_ws(";", "pincode", "all_pincodes"), r"\s*;\s*"), lambda p: p != "")
@@ -121,7 +125,7 @@ def map_localities(records: DataFrame, localities: DataFrame) -> DataFrame:
     spelt = r.where("typed IS NOT NULL").select(F.col("typed").alias("id")).distinct()
     bag = lambda d: d.select("id", name_tokens(compact(F.col("id")), F.lit("")).alias("tokens"))
     near = similar_values(bag(spelt), bag(cities), 0.3).where(one_slip(compact(F.col("left_id")), compact(F.col("right_id"))))
-    city_of = near.groupBy("left_id").agg(F.max_by("right_id", F.struct("jaccard", "right_id")).alias("r_city")).withColumnRenamed("left_id", "typed")
+    city_of = cut_lineage(near.groupBy("left_id").agg(F.max_by("right_id", F.struct("jaccard", "right_id")).alias("r_city")).withColumnRenamed("left_id", "typed"))
 
     # localities: each distinct stem and kind once
     split = lambda d: d.withColumn("kind", kind_of(F.col("name"))).withColumn("stem", stem_of(F.col("name"))).withColumn("form", F.concat_ws("|", "stem", "kind"))
@@ -131,7 +135,7 @@ def map_localities(records: DataFrame, localities: DataFrame) -> DataFrame:
     part = lambda c, k: F.substring_index(c, "|", k)
     alike = alike.where(one_slip(part(F.col("left_id"), 1), part(F.col("right_id"), 1)))
     kind_a, kind_b = part(F.col("left_id"), -1), part(F.col("right_id"), -1)
-    alike = alike.where((kind_a == "") | (kind_b == "") | (kind_a == kind_b))
+    alike = cut_lineage(alike.where((kind_a == "") | (kind_b == "") | (kind_a == kind_b)))
 
     choice = alike.withColumnRenamed("left_id", "form").join(listed.select(F.col("form").alias("right_id"), "locality_id", "l_city", "pins"), "right_id").drop("right_id")
     r = r.join(city_of, "typed", "left")

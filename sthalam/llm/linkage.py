@@ -85,20 +85,20 @@ def collective_links(rows: DataFrame, catalogue: DataFrame, mapped: DataFrame, g
     attributes = ["name", "brand", "ending", "phase", "locality", "city"]
     node = F.md5(F.concat_ws("\u0001", *(F.coalesce(F.col(c), F.lit("\u0002")) for c in attributes)))
     p = settled_parts(rows.select("row_id", "address", "zip"), g).where("family = 'B'").select("row_id", *attributes).distinct().withColumn("m", node)
-    r = record_nodes(catalogue, mapped, g).select("rec_id", *attributes).distinct().withColumn("r", node)
+    r = record_nodes(catalogue, cut_lineage(mapped.select("rec_id", "locality_id")), g).select("rec_id", *attributes).distinct().withColumn("r", node)
     p, r = cut_lineage(p), cut_lineage(r)
     nodes = lambda d, k: d.groupBy(k).agg(*(F.first(c).alias(c) for c in attributes))
-    mn, rn = nodes(p, "m"), nodes(r, "r")
+    mn, rn = cut_lineage(nodes(p, "m")), cut_lineage(nodes(r, "r"))
 
     both = mn.select(F.lit("m").alias("side"), *attributes).unionByName(rn.select(F.lit("r").alias("side"), *attributes))
     total = max(1, both.count())
     rarity = lambda c: both.where(F.col(c).isNotNull()).groupBy(c).agg((F.log(F.lit(total + 1.0) / F.count("*")) + 0.05).alias(f"w_{c}"))
     weigh = lambda d: d.join(rarity("name"), "name", "left").join(rarity("brand"), "brand", "left").join(rarity("ending"), "ending", "left").join(rarity("locality"), "locality", "left").join(rarity("city"), "city", "left")
-    weighed = weigh(rn)
+    weighed = cut_lineage(weigh(rn))
     left = mn.select("m", *(F.col(c).alias(f"{c}_m") for c in attributes), F.explode(deletion_forms(F.col("name"))).alias("form"))
     right = weighed.select("r", *(F.col(c).alias(f"{c}_r") for c in attributes), "w_name", "w_brand", "w_ending", "w_locality", "w_city", F.explode(deletion_forms(F.col("name"))).alias("form"))
     met = left.join(right, "form").where(one_slip(F.col("name_m"), F.col("name_r")) & _agree("city") & _agree("locality") & _agree("brand") & _agree("phase"))
-    met = met.dropDuplicates(["m", "r"])
+    met = cut_lineage(met.dropDuplicates(["m", "r"]))
     same = lambda c: F.col(f"{c}_m") == F.col(f"{c}_r")
     w = lambda c: F.coalesce(F.col(f"w_{c}"), F.lit(0.0))
     got = F.when(same("name"), w("name")).otherwise(0.7 * w("name"))
