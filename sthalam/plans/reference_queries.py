@@ -12,6 +12,8 @@ from sthalam.functions import words as W
 from sthalam.operators import matching as M
 from sthalam.operators import summaries as S
 from sthalam.operators.spatial import haversine
+from sthalam.plans.parse import parse_addresses, prepare
+from sthalam.plans.project_match import Dimensions, dimensions, match_projects
 from sthalam.session import table
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -484,6 +486,30 @@ def q43_whole_word(s, d):
     return runs.join(c, "c").groupBy("row_id").agg(F.max_by("locality", F.struct(F.length("locality"), "locality")).alias("locality"))
 
 
+def _dims(s, d) -> Dimensions:
+    return dimensions(catalogue(s, d), pins(s, d), table(s, d, "pincodes"))
+
+
+@query()
+def q44_project_match(s, d):
+    """Which record an address lies in and by which rule; no SQL, golden cases and invariants are tested."""
+    a = combo(s, d).select(F.col("row_id").alias("id"), "address", "zip", *(F.lit(None).cast("string").alias(c) for c in ("city", "locality", "building")))
+    return match_projects(a, _dims(s, d))
+
+
+@query()
+def q46_parse(s, d):
+    """The whole parse of the bureau rows; no SQL, golden cases are tested."""
+    districts = table(s, d, "pincodes").where("pin IS NOT NULL AND district IS NOT NULL").groupBy("pin").agg(F.min("district").alias("district"))
+    return parse_addresses(combo(s, d), _dims(s, d), districts=districts)
+
+
+@query()
+def q47_prepare(s, d):
+    """The cleaned texts and what was taken out of them; no SQL, golden cases are tested."""
+    return prepare(combo(s, d)).select("row_id", "text", "parser_text", "pin", "care_of", "organisation", "landmarks", "segments", "dropped")
+
+
 @query("SELECT row_id, nullif(regexp_extract(upper(address), '\\bNO\\.? *([0-9]+[A-Z]?(?:[/-][0-9]+[A-Z]?)?)\\b', 1), '') AS number, nullif(regexp_extract(" + s_norm("address") + f", '((?:[A-Z0-9]+ ){{1,5}}(?:{W.BUILDING_SUFFIX}))(?: |$)', 1), '') AS building FROM combo_demog WHERE address IS NOT NULL")
 def q45_building_extractors(s, d):
     number = F.nullif(F.regexp_extract(F.upper("address"), r"\bNO\.? *([0-9]+[A-Z]?(?:[/-][0-9]+[A-Z]?)?)\b", 1), F.lit(""))
