@@ -23,7 +23,8 @@ STREET = {"STREET": "STREET", "ST": "STREET", "STR": "STREET", "STRT": "STREET",
 FIRM = r"(?:TRADERS|FOODS|ENTERPRISES|LOGISTICS|INDUSTRIES|STORES|AGENCIES|SERVICES|SOLUTIONS|TECHNOLOGIES|ASSOCIATES|COMPANY|CO)"
 
 _EMAIL = re.compile(r"(?:\b(?:E-?MAIL|MAIL)(?: ID)?\b[: ]*)?[\w.+-]+ ?(?:@|\(AT\)|\[AT\]) ?[\w-]+(?: ?\. ?\w+| DOT \w+)+")
-_TAGGED = re.compile(r"\b(?:METER|KHATA|SY|SURVEY|RR|CONSUMER|ACCOUNT|A/C|PAN|EPIC|AADHAA?R|PASSPORT|DL|ID PROOF|VOTER ID|CALL|CELL|PHONE|TEL|MOB(?:ILE)?|CONTACT|PH|WHATSAPP)\b(?: NO\b)?[.: ]*(?:[A-Z]{1,6} ?)?[+(]?\d[\d() -]{3,}\d[A-Z]?(?![\d/])")
+_CUE = r"\b(?:METER|KHATA|SY|SURVEY|RR|CONSUMER|ACCOUNT|A/C|PAN|EPIC|AADHAA?R|UID|PASSPORT|DL|ID PROOF|VOTER ID|CALL|CELL|PHONE|TEL|MOB(?:ILE)?|CONTACT|PH|WHATSAPP)\b(?: NO\b)?[.: ]*"
+_TAGGED = re.compile(_CUE + r"(?:\+?91[ -]?)?(?:NO:)?(?:\d{4}[ -]\d{4}[ -]\d{4}|\d{5}[ -]\d{5}|\(\d{2}\) ?\d{8}|\d{3}-\d{8}|[A-Z]{2}\d{2} ?\d{11}|[A-Z]{0,6}\d{4,}[A-Z]?)(?![\d/])")
 _LONG = re.compile(r"\+91[ -]?\d{5}[ -]?\d{5}|\b\d{4}[ -]\d{4}[ -]\d{4}\b|\b\d{5}[ -]\d{5}\b|\b\d{7,}\b|\b[A-Z]{5}\d{4}[A-Z]\b|\b[A-Z]{1,3}\d{7}\b|\b[A-Z]{2}\d{2} ?\d{11}\b")
 _FLOOR = re.compile(r"\b(?:\d+(?:ST|ND|RD|TH)|GROUND|FIRST|SECOND|THIRD|FOURTH|TOP) (?:FLOOR|FLR)\b|\bSHOP ?@ ?CORNER\b")
 _FIRM = re.compile(rf"(?:\b(?:M/S|C/O|CARE OF|KIND ATTN:?|ATTN:?) *)?(?:M/S )?\b\w+ (?:\w+ )?{FIRM}\b(?: (?:PVT LTD|LTD|LLP|PRIVATE LIMITED))?|(?:\b(?:M/S|C/O|ATTN:?) *)(?:\w+ ){{1,3}}?(?:PVT LTD|LTD|LLP)\b")
@@ -37,7 +38,8 @@ _DOORS = [(re.compile(p), wing, number) for p, wing, number in (
     (r"\b(\d+[A-Z]?) ?, ?([A-H]) BLOCK\b", 2, 1),
     (r"\b(\d+[A-Z]?) ([A-H]) BLOCK\b", 2, 1),
     (r"\b(?:FLAT|FLT|APT|UNIT)\b\.?(?: NO\b\.?)? ?(\d+[A-Z]?)\b", 0, 1),
-    (r"(?<![\w/])([A-H])[- ]?(\d{2,4})\b(?![/-])", 1, 2),
+    (r"(?<![\w/])F[- ]?(\d{2,4})\b(?![/-])", 0, 1),  # F is short for flat, as in "F NO"; no wing has that letter
+    (r"(?<![\w/])([A-EGH])[- ]?(\d{2,4})\b(?![/-])", 1, 2),
     (r"(?:\b(?:HOUSE NO|H NO|D\.? ?NO|DOOR NO|PLOT NO|NO)\b|#)[. ]*(\d+[A-Z]?(?:/\d+[A-Z]?)?)\b", 0, 1),
     (r"(?:^|[|,;] *|  )(\d{1,4}[A-Z]?(?:/\d+[A-Z]?)?)(?![\w/])", 0, 1),
     (r"(?<![\w/])(\d{1,4}[A-Z]?(?:/\d+[A-Z]?)?)(?![\w/])", 0, 1),
@@ -156,7 +158,6 @@ def take_apart(address: str | None, zip_code: str | None, g: Gazetteer) -> dict[
     text = re.sub(r"#{2,}|\*{2,}", " ", text)
     for pattern in (_EMAIL, _TAGGED, _LONG, _FLOOR, _FIRM, _PERSON):
         text = pattern.sub(" | ", text)
-    text = re.sub(r"\b(?:METER|KHATA|SY|RR|CONSUMER|PAN|EPIC|AADHAA?R|PASSPORT|DL|ID PROOF|CALL|CELL|PHONE|TEL|MOB|E?MAIL|MAIL ID)\b(?: NO\b)?[.:]*", " | ", text)
     brand_at = lambda m: " | " if g.brands.find(m[1]) else m[0]
     text = re.sub(rf"{NEAR} *{PLACES}\b", " | ", text)
     text = re.sub(rf"{NEAR} *([A-Z]+)(?: [A-Z]{{5,}}| [A-Z]{{2,5}} [A-Z]{{2,4}}\b)", brand_at, text)
