@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sthalam.llm.canonical import KINDS, SHORT, city_text, locality_text
 
 #: Words that begin a further address beside the own one (fixed values).
-FURTHER = r"\b(?:NATIVE|ALSO AT|OLD ADD(?:RESS|R)?|PREV(?:IOUS)? ADD(?:RESS)?|OFFICE ?:|WORKS AT|R/O|PERM(?:ANENT)? ADD(?:RESS)?|RES ADD)\b"
+FURTHER = r"\b(?:NATIVE|ALSO AT|OLD ADD(?:RESS|R)?|PREV(?:IOUS)? ADD(?:RESS)?|WORKS AT|R/O|PERM(?:ANENT)? ADD(?:RESS)?|RES ADD)\b|\bOFFICE ?:"
 #: Words that begin a landmark, and public places that serve as one (fixed values).
 NEAR = r"\b(?:NEAR|NR|OPP|OPPOSITE|BEHIND|NEXT TO|BESIDE|ADJ TO)\b\.?"
 PLACES = r"(?:GOVT SCHOOL|WATER TANK|POST OFFICE|BUS STAND|RAILWAY STATION|PARK|SCHOOL|TEMPLE|LAKE|HOSPITAL|MARKET|MOSQUE|CHURCH)"
@@ -20,6 +20,8 @@ PLACES = r"(?:GOVT SCHOOL|WATER TANK|POST OFFICE|BUS STAND|RAILWAY STATION|PARK|
 SUFFIX = {"RESI": "RESIDENCY", "RESIDENCY": "RESIDENCY", "ENCL": "ENCLAVE", "ENCLAVE": "ENCLAVE", "HABITAT": "HABITAT", "HEIGHTS": "HEIGHTS", "HTS": "HEIGHTS", "TOWER": "TOWERS", "TOWERS": "TOWERS", "TWRS": "TOWERS", "TWR": "TOWERS", "APARTMENT": "APARTMENTS", "APARTMENTS": "APARTMENTS", "APTS": "APARTMENTS", "APT": "APARTMENTS", "APPT": "APARTMENTS", "GARDENS": "GARDENS", "GDNS": "GARDENS", "GARDEN": "GARDENS"}
 #: Kinds of streets, by their short forms (fixed values).
 STREET = {"STREET": "STREET", "ST": "STREET", "STR": "STREET", "STRT": "STREET", "ROAD": "ROAD", "RD": "ROAD", "RAOD": "ROAD", "LANE": "LANE", "LN": "LANE", "MARG": "MARG", "MRG": "MARG", "CROSS": "CROSS", "CRS": "CROSS", "X": "CROSS"}
+#: Last words of the names of houses (fixed values).
+HOUSES = {"NIVAS", "BHAVAN", "SADAN", "KUTIR", "VILLA"}
 FIRM = r"(?:TRADERS|FOODS|ENTERPRISES|LOGISTICS|INDUSTRIES|STORES|AGENCIES|SERVICES|SOLUTIONS|TECHNOLOGIES|ASSOCIATES|COMPANY|CO)"
 
 _EMAIL = re.compile(r"(?:\b(?:E-?MAIL|MAIL)(?: ID)?\b[: ]*)?[\w.+-]+ ?(?:@|\(AT\)|\[AT\]) ?[\w-]+(?: ?\. ?\w+| DOT \w+)+")
@@ -228,6 +230,8 @@ def take_apart(address: str | None, zip_code: str | None, g: Gazetteer) -> dict[
         if k is not None:
             main = run[k - 1] in ("MAIN", "MN")
             words = [t for t in run[: k - main] if t.isalpha()]
+            house = next((n for n, t in enumerate(words) if t in HOUSES), None)  # a house's name may stand before its street
+            words = words if house is None else words[house + 1 :]
             name = "".join(words[-3:])
             if len(name) >= 6:
                 out.update(family="S", name=name, ending=("MAIN " if main else "") + STREET[run[k]])
