@@ -92,8 +92,8 @@ def candidates(a: DataFrame, dims: Dimensions) -> DataFrame:
     """
     kind = lambda d, k, span: d.select("id", "city_key", "name", F.lit(k).alias("kind"), span.alias("span"))
     base = a.select("id", "city_key", "text")
-    runs = M.word_runs(base, "id", F.col("text"), 1, 8, ("city_key",))
-    lead = dims.names.select("city_key", F.get(T.tokens(F.col("name")), F.lit(0)).alias("lead")).distinct()
+    starts = M.first_words(dims.names, scope=("city_key",)).unionByName(M.first_words(dims.fragments, "run", ("city_key",))).distinct()
+    runs = cut_lineage(M.word_runs(base, "id", F.col("text"), 1, 8, ("city_key",), starts))
     exact = runs.where((F.col("size") >= 2) | (F.length("run") >= 8)).join(dims.names.withColumn("run", F.col("name")), ["city_key", "run"])
     letters = F.regexp_replace("text", " ", "")
     inside = cut_lineage(M.contained_names(base, "id", letters, dims.names, scope=("city_key",)))
@@ -102,7 +102,7 @@ def candidates(a: DataFrame, dims: Dimensions) -> DataFrame:
     collapsed = inside.join(brand, ["city_key", "name"]).join(words, ["id", "city_key", "brand"])
     glued = inside.where(F.length(F.regexp_replace("name", " ", "")) >= 12)
     n_words = lambda c: F.size(T.tokens(F.col(c)))
-    windows = runs.where("size BETWEEN 2 AND 6").withColumn("brand", F.get(T.tokens(F.col("run")), F.lit(0))).join(lead.withColumnRenamed("lead", "brand"), ["city_key", "brand"], "left_semi")
+    windows = runs.where("size BETWEEN 2 AND 6").withColumn("brand", F.get(T.tokens(F.col("run")), F.lit(0)))
     pool = brand.where(n_words("name") >= 2)
     near = M.fuzzy_pairs(windows.withColumnRenamed("run", "a"), pool.withColumnRenamed("name", "b"), ["city_key", "brand"], 92.0).where(F.abs(F.size(T.tokens(F.col("b"))) - F.col("size")) <= 1)
     figures = lambda c: F.regexp_extract_all(c, F.lit("[0-9]+"), F.lit(0))

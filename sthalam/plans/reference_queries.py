@@ -324,7 +324,7 @@ _LOCALITIES = f"l AS (SELECT DISTINCT {s_match('locality')} AS run FROM pincode_
 SELECT row_id, run AS locality FROM h WHERE NOT EXISTS (SELECT 1 FROM h o WHERE o.row_id = h.row_id AND length(o.run) > length(h.run) AND contains(' ' || o.run || ' ', ' ' || h.run || ' '))""")
 def q25_nested_hit_removal(s, d):
     l = pins(s, d).where("locality IS NOT NULL").select(T.match_text(F.col("locality")).alias("run")).distinct()  # noqa: E741
-    runs = M.word_runs(combo(s, d).where("address IS NOT NULL"), "row_id", T.match_text(F.col("address")), 1, 3).where(F.length("run") >= 4)
+    runs = M.word_runs(combo(s, d).where("address IS NOT NULL"), "row_id", T.match_text(F.col("address")), 1, 3, leads=M.first_words(l, "run")).where(F.length("run") >= 4)
     hits = runs.join(l, "run").select("row_id", F.col("run").alias("locality")).distinct()
     return M.without_nested(hits, "row_id", "locality")
 

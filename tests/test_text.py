@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from sthalam.functions import extract as X
 from sthalam.functions import text as T
 from sthalam.plans.parse import prepare
 
@@ -79,3 +80,25 @@ def test_confidence_terms(spark):
     assert score(locality="L", locality_source="gazetteer") == 0.08 and score(locality="L", locality_source="sheet_hint") == 0.05
     assert score(number="1") == 0.04 and score(landmark="X") == 0.04
     assert score(pin=True, pin_known=True, state=1, city_agrees=True, building="B", rule="project_locality_pincode", locality="L", locality_source="dotcom_match", number="1", landmark="X") == 1.0
+
+
+@pytest.mark.parametrize(("function", "norm", "wanted"), [
+    (X.trimmed_building, "THANGAM 2ND CROSS ADITYA APARTMENT", "ADITYA APARTMENT"),
+    (X.trimmed_building, "PVT LTD", None),
+    (X.compound_building, "NO 203 JAYVILLA ROAD", "JAYVILLA"),
+    (X.layout_building, "NO 5 GREEN HILL LAYOUT BANGALORE", "GREEN HILL LAYOUT"),
+    (X.landmark_building, "FLAT 2 NEAR SKY HIGH TOWERS HEBBAL", "SKY HIGH TOWERS"),
+    (X.before_bldg, "12 ROSE GARDEN BLDG PUNE", "ROSE GARDEN"),
+    (X.residence, "7 SAI KRUPA RESIDENCE PUNE", "SAI KRUPA RESIDENCE"),
+    (X.single_area, "NO 8 AKSHAYNAGAR BANGALORE", "AKSHAYNAGAR"),
+    (X.first_building, "FLAT 101 HAPPY HOME HEBBAL", "HAPPY HOME HEBBAL"),
+    (X.first_building, "", None),
+])
+def test_extractors(spark, function, norm, wanted):
+    assert one(spark, function, norm) == wanted
+
+
+def test_extractors_beside_a_locality(spark):
+    d = spark.createDataFrame([("12 SUBASH NAGAR ROSE COLONY", "Subash Nagar"), (None, None)], "n string, l string")
+    a, b = d.select(X.society(F.col("n"), F.col("l")).alias("s"), X.locality_as_building(F.col("n"), F.col("l")).alias("l"), X.fallback_building(F.col("n"), F.col("l")).alias("f")).collect()
+    assert a["l"] == "SUBASH NAGAR" and a["f"]["value"] is not None and b["f"]["value"] is None
