@@ -30,7 +30,13 @@ _TAGGED = re.compile(_CUE + r"(?:\+?91[ -]?)?(?:NO:)?(?:\d{4}[ -]\d{4}[ -]\d{4}|
 _LONG = re.compile(r"\+91[ -]?\d{5}[ -]?\d{5}|\b\d{4}[ -]\d{4}[ -]\d{4}\b|\b\d{5}[ -]\d{5}\b|\b\d{7,}\b|\b[A-Z]{5}\d{4}[A-Z]\b|\b[A-Z]{1,3}\d{7}\b|\b[A-Z]{2}\d{2} ?\d{11}\b")
 _FLOOR = re.compile(r"\b(?:\d+(?:ST|ND|RD|TH)|GROUND|FIRST|SECOND|THIRD|FOURTH|TOP) (?:FLOOR|FLR)\b|\bSHOP ?@ ?CORNER\b")
 _FIRM = re.compile(rf"(?:\b(?:M/S|C/O|CARE OF|KIND ATTN:?|ATTN:?) *)?(?:M/S )?\b\w+ (?:\w+ )?{FIRM}\b(?: (?:PVT LTD|LTD|LLP|PRIVATE LIMITED))?|(?:\b(?:M/S|C/O|ATTN:?) *)(?:\w+ ){{1,3}}?(?:PVT LTD|LTD|LLP)\b")
+#: Without one of these the slower patterns can't match.
+_AT, _FIRM_WORD = re.compile(r"@|[(\[]AT[)\]]"), re.compile(rf"{FIRM}\b|\b(?:LTD|LLP)\b")
 _PERSON = re.compile(r"\b(?:[SWDHC]/O\b\.?|CARE OF|SON OF|WIFE OF|DAUGHTER OF|KIND ATTN:?|ATTN:?|OWNER:?)[: ]*(?:(?:MR|MS|MRS|SHRI|SMT|DR)\b\.? *)?(?:LATE )?(?:[A-Z] [A-Z]{3,}|[A-Z]{3,}(?: [A-Z])? [A-Z]{3,})|\b(?:MR|MS|MRS|SHRI|SMT|DR)\b\.? *(?:LATE )?(?:[A-Z] [A-Z]{3,}|[A-Z]{3,}(?: [A-Z])? [A-Z]{3,})")
+_NEAR_PLACE = re.compile(rf"{NEAR} *{PLACES}\b")
+_NEAR_BRAND = re.compile(rf"{NEAR} *([A-Z]+)(?: [A-Z]{{5,}}| [A-Z]{{2,5}} [A-Z]{{2,4}}\b)")
+_NEAR_OTHER = re.compile(rf"{NEAR} *(?:[A-Z]{{12,}}|[A-Z]+ [A-Z]+)")
+_FURTHER = re.compile(FURTHER)
 _PIN = re.compile(r"(?<![\d/])[1-9]\d{2} ?\d{3}(?![\d/])")
 _DOORS = [(re.compile(p), wing, number) for p, wing, number in (
     (r"\bFLA?T\.?(?: NO\.?)? ?(\d+[A-Z]?) ([A-H]) WING\b", 2, 1),
@@ -72,8 +78,12 @@ def one_slip_apart(a: str, b: str) -> bool:
 class Names:
     """A fixed list of names that finds a word's name even with one slip; an exact name wins, then the one of the only choice."""
 
+    #: Words whose answers are kept; beyond it they are worked out again.
+    KEPT = 300_000
+
     def __init__(self, names: set[str], least: int = 5):
         self.names, self.least = names, least
+        self.known: dict[str, list[str]] = {}
         self.by: dict[str, set[str]] = {}
         for n in sorted(names):
             if len(n) >= least:
@@ -81,6 +91,14 @@ class Names:
                     self.by.setdefault(d, set()).add(n)
 
     def all(self, word: str) -> list[str]:
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= self.KEPT:
+                self.known.clear()
+            found = self.known[word] = self._all(word)
+        return found
+
+    def _all(self, word: str) -> list[str]:
         if word in self.names:
             return [word]
         if len(word) < self.least:
@@ -154,16 +172,17 @@ def take_apart(address: str | None, zip_code: str | None, g: Gazetteer) -> dict[
     text = re.sub(r"[^\w@#&/.,;:()\[\]+| -]", " ", (address or "").upper()).replace("_", " ")
     if not text.strip():
         return out
-    cut = re.search(FURTHER, text)
+    cut = _FURTHER.search(text)
     if cut:
         text = text[: cut.start()]
     text = re.sub(r"#{2,}|\*{2,}", " ", text)
-    for pattern in (_EMAIL, _TAGGED, _LONG, _FLOOR, _FIRM, _PERSON):
-        text = pattern.sub(" | ", text)
+    for pattern, sign in ((_EMAIL, _AT), (_TAGGED, None), (_LONG, None), (_FLOOR, None), (_FIRM, _FIRM_WORD), (_PERSON, None)):
+        if sign is None or sign.search(text):
+            text = pattern.sub(" | ", text)
     brand_at = lambda m: " | " if g.brands.find(m[1]) else m[0]
-    text = re.sub(rf"{NEAR} *{PLACES}\b", " | ", text)
-    text = re.sub(rf"{NEAR} *([A-Z]+)(?: [A-Z]{{5,}}| [A-Z]{{2,5}} [A-Z]{{2,4}}\b)", brand_at, text)
-    text = re.sub(rf"{NEAR} *(?:[A-Z]{{12,}}|[A-Z]+ [A-Z]+)", " | ", text)
+    text = _NEAR_PLACE.sub(" | ", text)
+    text = _NEAR_BRAND.sub(brand_at, text)
+    text = _NEAR_OTHER.sub(" | ", text)
 
     pins = _PIN.findall(text)
     if pins:
