@@ -14,7 +14,7 @@ from sthalam.operators import summaries as S
 from sthalam.operators.spatial import haversine
 from sthalam.plans.parse import parse_addresses, prepare
 from sthalam.plans.project_match import Dimensions, dimensions, match_projects
-from sthalam.session import table
+from sthalam.session import spread, table
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -501,13 +501,13 @@ def q44_project_match(s, d):
 def q46_parse(s, d):
     """The whole parse of the bureau rows; no SQL, golden cases are tested."""
     districts = table(s, d, "pincodes").where("pin IS NOT NULL AND district IS NOT NULL").groupBy("pin").agg(F.min("district").alias("district"))
-    return parse_addresses(combo(s, d), _dims(s, d), districts=districts)
+    return parse_addresses(spread(combo(s, d)), _dims(s, d), districts=districts)
 
 
 @query()
 def q47_prepare(s, d):
     """The cleaned texts and what was taken out of them; no SQL, golden cases are tested."""
-    return prepare(combo(s, d)).select("row_id", "text", "parser_text", "pin", "care_of", "organisation", "landmarks", "segments", "dropped")
+    return prepare(spread(combo(s, d))).select("row_id", "text", "parser_text", "pin", "care_of", "organisation", "landmarks", "segments", "dropped")
 
 
 @query("SELECT row_id, nullif(regexp_extract(upper(address), '\\bNO\\.? *([0-9]+[A-Z]?(?:[/-][0-9]+[A-Z]?)?)\\b', 1), '') AS number, nullif(regexp_extract(" + s_norm("address") + f", '((?:[A-Z0-9]+ ){{1,5}}(?:{W.BUILDING_SUFFIX}))(?: |$)', 1), '') AS building FROM combo_demog WHERE address IS NOT NULL")

@@ -42,6 +42,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def single_row_bound(spark: SparkSession, rows: int, row_bytes: int, limit: int = 64 << 20) -> bool:
-    """Whether a side of `rows` rows is small enough to broadcast."""
-    return rows * row_bytes <= limit
+def spread(df: DataFrame) -> DataFrame:
+    """A table as it is read, dealt to all cores where its files give fewer partitions than there are cores.
+
+    Only for tables straight from their files: a small one is shuffled once before work that is heavy for each row, a large one is never.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
