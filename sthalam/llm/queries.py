@@ -16,17 +16,17 @@ from sthalam.llm.pii_crf import personal_spans
 from sthalam.llm.proportions import Proportioned, latest_rules
 from sthalam.llm.same_place import same_doors
 from sthalam.llm.truncation import truncated, truncation_report
-from sthalam.session import table
+from sthalam.session import spread, table
 
 CAPACITY = 2048
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    return personal_spans(table(spark, folder, "combo_demog")).select("row_id", "kind").distinct()
+    return personal_spans(spread(table(spark, folder, "combo_demog"))).select("row_id", "kind").distinct()
 
 
 def p1_redacted(spark: SparkSession, folder: str) -> DataFrame:
-    return personal_spans(table(spark, folder, "combo_demog"), redact=True)
+    return personal_spans(spread(table(spark, folder, "combo_demog")), redact=True)
 
 
 def _proportioned(spark: SparkSession, folder: str) -> Proportioned:
@@ -50,7 +50,7 @@ def _lists(spark: SparkSession, folder: str) -> Gazetteer:
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return same_doors(table(spark, folder, "combo_demog"), _lists(spark, folder)).select("row_id_a", "row_id_b")
+    return same_doors(spread(table(spark, folder, "combo_demog")), _lists(spark, folder)).select("row_id_a", "row_id_b")
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,7 +62,7 @@ def p5_unmatched(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_links(spark: SparkSession, folder: str) -> DataFrame:
-    return collective_links(table(spark, folder, "combo_demog"), table(spark, folder, "dotcom_catalogue"), p5_found(spark, folder), _lists(spark, folder))
+    return collective_links(spread(table(spark, folder, "combo_demog")), table(spark, folder, "dotcom_catalogue"), p5_found(spark, folder), _lists(spark, folder))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,11 +70,11 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return encode_corpus(table(spark, folder, "documents"))
+    return encode_corpus(spread(table(spark, folder, "documents")))
 
 
 def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
-    sizes = encode_corpus(table(spark, folder, "documents"), out="n_tokens", lengths_only=True)
+    sizes = encode_corpus(spread(table(spark, folder, "documents")), out="n_tokens", lengths_only=True)
     return fill_containers(sizes, capacity=CAPACITY)
 
 
@@ -92,11 +92,11 @@ P2_REPORT_SQL = _P2 + "SELECT match_rule, target_share, min_rows, needed, availa
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
-    return truncated(table(spark, folder, "documents")).where("truncated").select("doc_id")
+    return truncated(spread(table(spark, folder, "documents"))).where("truncated").select("doc_id")
 
 
 def p9_report(spark: SparkSession, folder: str) -> DataFrame:
-    return truncation_report(truncated(table(spark, folder, "documents")))
+    return truncation_report(truncated(spread(table(spark, folder, "documents"))))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
