@@ -11,7 +11,7 @@ from sthalam.session import cut_lineage
 
 #: A length is a candidate limit where at least this share of a source's texts have it, and this many times the texts of the lengths around it.
 LIMIT_SHARE, LIMIT_EXCESS = 0.01, 4.0
-#: Share of all documents that end by a line of one form, from which on that line is a way to close a text.
+#: Share of all distinct texts that end by a line of one form, from which on that line is a way to close a text.
 CLOSING_SHARE = 0.001
 #: Share of texts cut off at any length (in transfer), before the evidence.
 TRANSFER_PRIOR = 0.03
@@ -75,9 +75,11 @@ def censoring(docs: DataFrame) -> DataFrame:
 
     The lengths' logarithms of a source and unit are taken as normal. Texts at a limit count as censored; the fitted curve tells how many would have
     that length of themselves, the rest of those there were cut. The driver gets a row for each source and limit: a limit holds
-    LIMIT_SHARE of its source at least, so at most 1 / LIMIT_SHARE for each source and unit.
+    LIMIT_SHARE of its source at least, so at most 1 / LIMIT_SHARE for each source and unit. Copies of a text count once, so that a text
+    delivered over and over doesn't make its own length a limit.
     """
     spark = docs.sparkSession
+    docs = docs.select("source", "chars", "bytes", F.md5("text")).distinct()
     lengths = docs.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("length")))).alias("x")).select("source", "x.unit", "x.length")
     lengths = cut_lineage(lengths.where("length > 0").groupBy("source", "unit", "length").agg(F.count("*").alias("n")))
     limits = cut_lineage(candidate_limits(lengths))
@@ -109,7 +111,8 @@ def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
     The prior is the censoring posterior of the limit at which the text ends, else TRANSFER_PRIOR. The evidence is how often,
     over the whole corpus, the text's last words are followed by a full stop or line end rather than by further words
     (three words back, or fewer where three were never seen further inside a text; a last word that was seen nowhere is broken
-    off); a full stop of its own; and a last line of a form with which CLOSING_SHARE of all documents close. A text is taken as
+    off); a full stop of its own; and a last line of a form with which CLOSING_SHARE of all distinct texts close, learned from those that
+    don't end at a candidate limit: how often its last figures are as long as here rather than longer. A text is taken as
     truncated where prior and evidence together favour it. Null, empty and blank texts aren't truncated; a null source is a source of its own;
     repeated rows come out as often as they go in; other columns aren't read. Whole texts are read and all documents counted.
     """
@@ -135,11 +138,8 @@ def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
     has_stop = F.element_at(w, -1) == "."
     core = F.when(has_stop, F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0)))).otherwise(w)
     core = F.concat(F.array(F.lit("^"), F.lit("^"), F.lit("^")), core)
-    ends = words.where(F.size("w") > 0).select("k", "source", "named", "chars", "bytes", F.when(more, F.regexp_replace(form, r"\d+", "0")).alias("form"), has_stop.alias("has_stop"), *(F.element_at(core, -i).alias(c) for c, i in (("a", 3), ("b", 2), ("c", 1))), F.col("even").rlike(r"\d\.$").alias("figure"), F.col("even").rlike(r"[.!?।॥…][\"'”’)\]]*$").alias("stopped"))
+    ends = words.where(F.size("w") > 0).select("k", "source", "named", "chars", "bytes", F.when(more, F.regexp_replace(form, r"\d+", "0")).alias("form"), F.length(F.regexp_extract(last, r"\d*$", 0)).alias("figures"), F.md5("even").alias("mark"), has_stop.alias("has_stop"), *(F.element_at(core, -i).alias(c) for c, i in (("a", 3), ("b", 2), ("c", 1))), F.col("even").rlike(r"\d\.$").alias("figure"), F.col("even").rlike(r"[.!?।॥…][\"'”’)\]]*$").alias("stopped"))
     ends = cut_lineage(ends)
-    total = ends.count()
-    closing = ends.where("form IS NOT NULL").groupBy("form").agg(F.count("*").alias("times")).where(F.col("times") >= max(3, CLOSING_SHARE * total)).select("form", F.lit(True).alias("closing"))
-
     limits = censoring(d.where("chars > 0"))
     near = limits.select(F.col("source").alias("l_source"), "unit", "at", "posterior")
     fits = F.when(F.col("unit") == "chars", F.col("chars") == F.col("at")).otherwise(F.col("bytes").between(F.col("at") - BYTE_SLACK, F.col("at")))
@@ -147,19 +147,26 @@ def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
     sizes = ends.select("source", "chars", "bytes").distinct()
     hit = sizes.join(F.broadcast(near), (F.col("source") == F.col("l_source")) & fits).groupBy("source", "chars", "bytes").agg(F.max(F.struct("posterior", "at", "unit")).alias("hit")).select("source", "chars", "bytes", F.col("hit.at").alias("at_limit"), F.col("hit.posterior").alias("p_limit"))
 
-    e = ends.join(hit, ["source", "chars", "bytes"], "left").join(closing, "form", "left")
+    e = cut_lineage(ends.join(hit, ["source", "chars", "bytes"], "left"))
+    # the ways to close a text, by the length of the figures at their end
+    total = e.select("mark").distinct().count()
+    lines = e.where("form IS NOT NULL AND at_limit IS NULL").select("form", "figures", "mark").distinct().groupBy("form", "figures").agg(F.count("*").alias("times"))
+    closing = lines.groupBy("form").agg(F.sum("times").alias("times"), F.collect_list(F.struct("figures", "times")).alias("closing")).where(F.col("times") >= max(3, CLOSING_SHARE * total)).drop("times")
+    e = e.join(closing, "form", "left")
     e = e.join(three, ["a", "b", "c"], "left").join(two, ["b", "c"], "left").join(one, ["c"], "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     ratio = lambda s, n: (z(s) + 0.02) / (z(n) + 1.0)
     p_stop = F.when(z("n") >= 3, ratio("stop", "n")).when(z("n2") >= 3, ratio("stop2", "n2")).when(z("n1") >= 3, F.least(ratio("stop1", "n1"), F.lit(0.3))).otherwise(F.lit(0.02))
-    closed = F.coalesce(F.col("closing"), F.lit(False))
-    e = e.withColumn("p_stop", p_stop).withColumn("closed", closed)
+    seen = lambda fit: F.aggregate(F.filter("closing", lambda x: fit(x["figures"], F.col("figures"))), F.lit(0).cast("bigint"), lambda n, x: n + x["times"])
+    same, longer = seen(lambda x, own: x == own), seen(lambda x, own: x > own)
+    e = e.withColumn("p_stop", p_stop).withColumn("p_close", (same + 1) / (same + longer + 1)).withColumn("closed", F.col("closing").isNotNull())
     prior = F.coalesce("p_limit", F.lit(TRANSFER_PRIOR))
     clip = lambda p: F.greatest(F.lit(0.002), F.least(F.lit(0.998), p))
     # log of how much likelier this end is in a cut text than in a whole one
     figure = F.col("figure") & (F.col("b") != "X") & (z("n2") >= 3) & (ratio("stop2", "n2") < 0.02)
-    whole = F.when(closed, F.lit(-9.0)).when(F.col("stopped") & F.col("has_stop"), F.when(figure, F.lit(4.5)).otherwise(F.lit(-9.0)))
-    evidence = F.coalesce(whole, F.log((1 - clip(F.col("p_stop"))) / clip(F.col("p_stop"))) + 2.0)
+    odds = lambda p: F.log((1 - clip(p)) / clip(p))
+    whole = F.when(F.col("closed"), F.when(F.col("stopped") & F.col("has_stop"), F.lit(-9.0)).otherwise(odds(F.col("p_close")))).when(F.col("stopped") & F.col("has_stop"), F.when(figure, F.lit(4.5)).otherwise(F.lit(-9.0)))
+    evidence = F.coalesce(whole, odds(F.col("p_stop")) + 2.0)
     e = e.withColumn("score", F.log(prior / (1 - prior)) + evidence)
     rows = e.select(F.col("k").alias(key), F.col("named").alias("source"), F.col("chars").alias("length"), "at_limit", "p_limit", "p_stop", F.col("closed").alias("closing"), "score", (F.col("score") > 0).alias("truncated"))
     none = words.where((F.size("w") <= 0) | F.col("w").isNull()).select(F.col("k").alias(key), F.col("named").alias("source"), F.col("chars").alias("length"))

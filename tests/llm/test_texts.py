@@ -105,3 +105,22 @@ def test_truncation(spark):
     rep = {x["source"]: x for x in truncation_report(truncated(d)).collect()}
     assert rep["short"]["truncated"] > 50 and rep[None]["truncated"] == 2
     assert truncated(d.limit(0)).count() == 0
+
+
+def test_copies_and_broken_figures_are_no_closing(spark):
+    r = random.Random(8)
+    rows = []
+    for i in range(900):
+        text = " ".join(r.choice(SENTENCES) for _ in range(r.randrange(1, 9)))
+        if i % 4 == 0:
+            text += f"\n-- desk {r.choice((7, 12, *range(100, 130)))}"
+        rows.append((i, text[:200], "short"))
+    whole = next(t for _, t, _ in rows if t.endswith(".") and len(t) < 150)
+    at = lambda end: (whole * 3)[: 200 - len(end)] + end
+    rows += [(2000 + i, at(end), "short") for i, end in enumerate(("\n-- desk 12", "\n-- desk 1", "\n-- desk 123"))]
+    rows += [(3000 + i, f"{whole}\nThe guard keeps the", "long") for i in range(300)]
+    rows += [(4000 + i, f"{whole}\n-- desk 104", "other") for i in range(300)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = {x["doc_id"] for x in truncated(d).where("truncated").collect()}
+    assert {2000, 2001} <= found and 2002 not in found
+    assert set(range(3000, 3300)) <= found and not found & set(range(4000, 4300))
