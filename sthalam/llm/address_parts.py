@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sthalam.llm.canonical import KINDS, SHORT, city_text, locality_text
+from sthalam.session import cut_lineage
 
 #: Words that begin a further address beside the own one (fixed values).
 FURTHER = r"\b(?:NATIVE|ALSO AT|OLD ADD(?:RESS|R)?|PREV(?:IOUS)? ADD(?:RESS)?|WORKS AT|R/O|PERM(?:ANENT)? ADD(?:RESS)?|RES ADD)\b|\bOFFICE ?:"
@@ -272,8 +273,12 @@ def take_apart(address: str | None, zip_code: str | None, g: Gazetteer) -> dict[
     for k, t in enumerate(run):
         found, glued = g.brands.find(t), _brand_before(t, g)
         if found or glued:
+            rest = run[k + 1 :]
+            if found and not glued and (not rest or rest[0] in SUFFIX or rest[0] in ("PHASE", "PH")):  # nothing but the first word is the name
+                run = [found, *rest]
+                break
             out["brand"] = found or glued
-            run = ([] if found else [t[len(glued) :]]) + run[k + 1 :]
+            run = ([] if found else [t[len(glued) :]]) + rest
             break
     words: list[str] = []
     k = 0
@@ -307,22 +312,27 @@ def _brand_before(token: str, g: Gazetteer) -> str | None:
 PARTS = ("door", "wing", "family", "name", "brand", "ending", "phase", "locality", "locality_id", "city", "told", "pin")
 #: Entries of the list of localities, at most; the list is fixed and every worker gets it.
 MAX_LIST = 200_000
-#: Share of project listings that a first word must begin to count as a brand.
+#: Share of the distinct project names that a first word must begin to count as a brand.
 BRAND_SHARE = 0.002
 
 
 def gazetteer(localities: DataFrame, catalogue: DataFrame) -> Gazetteer:
-    """The lists from the fixed table of localities (its size is checked) and the first words that begin BRAND_SHARE of the catalogue.
+    """The lists from the fixed table of localities (its size is checked) and the first words that begin BRAND_SHARE of the catalogue's distinct names.
 
-    There can be at most 1 / BRAND_SHARE such words, whatever the catalogue's size.
+    There can be at most 1 / BRAND_SHARE such words, whatever the catalogue's size. Listings of one name count once, endings and figures don't tell
+    names apart, and a word that no name follows is none. Nor is a name glued to its first word: a word that begins with another that as many names follow.
     """
     rows = localities.select("locality_id", F.upper(locality_text(F.col("locality"))).alias("n"), F.upper(city_text(F.col("city"))).alias("c"), F.trim("pincode").alias("p")).where("locality_id IS NOT NULL AND n IS NOT NULL").distinct().limit(MAX_LIST + 1).collect()
     if len(rows) > MAX_LIST:
         raise ValueError("the list of localities is too long for every worker")
-    first = catalogue.select(F.upper(F.substring_index(F.trim("projectname"), " ", 1)).alias("w")).where("length(w) >= 5")
+    w = F.split(F.trim(F.regexp_replace(F.upper("projectname"), r"[^\p{L}\p{N}]+", " ")), " ")
+    own = F.filter(F.slice(w, 2, 100_000), lambda x: x.rlike(r"\p{L}") & ~x.isin(*SUFFIX, "PHASE", "PH", *_ROMAN))
+    first = cut_lineage(catalogue.select(F.get(w, F.lit(0)).alias("w"), F.array_join(own, "").alias("own")).where("length(w) >= 5 AND own <> ''").distinct())
     total = first.count()
-    brands = first.groupBy("w").count().where(F.col("count") >= max(1, BRAND_SHARE * total)).collect()
-    return Gazetteer([tuple(r) for r in sorted(rows, key=str)], {r["w"] for r in brands})
+    names = {r["w"]: r["count"] for r in first.groupBy("w").count().where(F.col("count") >= max(1, BRAND_SHARE * total)).collect()}
+    glued = lambda x: any(names.get(x[:n], 0) >= names[x] for n in range(5, len(x) - 3))
+    brands = {x for x in names if not glued(x)}
+    return Gazetteer([tuple(r) for r in sorted(rows, key=str)], brands)
 
 
 def address_parts(rows: DataFrame, g: Gazetteer, *, key: str = "row_id", address: str = "address", zip_code: str = "zip") -> DataFrame:

@@ -35,6 +35,8 @@ def project_parts(name: str | None, g: Gazetteer) -> tuple[str | None, str | Non
             tokens = ([] if found else [t[len(glued) :]]) + tokens[k + 1 :]
             break
     words, ending, phase = [], None, None
+    if brand and (not tokens or tokens[0] in SUFFIX or tokens[0] in ("PHASE", "PH")):  # nothing but the first word is the name
+        brand, words = None, [brand]
     for k, t in enumerate(tokens):
         if t in ("PHASE", "PH") and k + 1 < len(tokens) and tokens[k + 1] in _ROMAN:
             phase = _ROMAN[tokens[k + 1]]

@@ -116,3 +116,18 @@ def test_links(spark):
     assert {(x["row_id"], x["rec_id"]) for x in links} == {(1, 1), (1, 2), (3, 3), (4, 1), (4, 2)}
     assert all(0.5 <= x["confidence"] <= 1 for x in links)
     assert collective_links(d.limit(0), cat, C.map_localities(cat, loc), g).count() == 0
+
+
+def test_a_hot_project_makes_no_first_word(spark):
+    loc = spark.createDataFrame(LOCALITIES, "locality_id bigint, locality string, city string, pincode string")
+    hot = ["Zenara Musalida"] * 260 + ["ZenaraMusalida"] * 20 + ["ZenaraMusalida Heights"] * 20 + ["ZenaraMusalida Hts"] * 20
+    names = hot + [f"{b} {x}" for b in ("Zenara", "Quillon", "Tulipa") for x in ("Tuseseve", "Kirimanu", "Nalodari")] + ["Lumora Heights"]
+    cat = spark.createDataFrame([(i, n, "Velmora", "Mepema Nagar", "210001", "210001") for i, n in enumerate(names)], "rec_id bigint, projectname string, city string, sublocation string, pincode string, all_pincodes string")
+    g = gazetteer(loc, cat)
+    assert set(g.brands.names) == {"ZENARA", "QUILLON", "TULIPA"}
+    assert project_parts("ZenaraMusalida Heights", g) == ("ZENARA", "MUSALIDA", "HEIGHTS", None)
+    assert project_parts("Zenara Heights", g) == (None, "ZENARA", "HEIGHTS", None) and take_apart("A-9 ZENARA HEIGHTS VELMORA", None, g)["name"] == "ZENARA"
+    rows = spark.createDataFrame([(1, "A-506 ZENARAMUSALIDA MEPEMA NAGAR VELMORA", None), (2, "FLAT NO 506 A WING ZENARA MUSALIDA VELMORA", None)], "row_id bigint, address string, zip string")
+    assert same_doors(rows, g).count() == 1
+    links = collective_links(rows, cat, C.map_localities(cat, loc), g).collect()
+    assert {(x["row_id"], x["rec_id"]) for x in links} == {(r, i) for r in (1, 2) for i in range(len(hot))}
