@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def build_session(app: str = "sthalam", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the plans are written for; `conf` overrides them (dots as `__`)."""
     b = SparkSession.builder.appName(app)
@@ -18,23 +25,40 @@ def build_session(app: str = "sthalam", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
-        "spark.sql.shuffle.partitions": "8",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     for k, v in settings.items():
         b = b.config(k, v)
     return b.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for tables between the steps of a plan: the one that the session names in spark.checkpoint.dir.
+
+    Only on one machine (a local master, as in tests) a session without that setting gets a temporary one; elsewhere it is an error,
+    since no worker sees another one's folders.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that every worker sees")
+        named = _LOCAL.setdefault(spark.sparkContext.applicationId, "")
+        if not named:
+            named = _LOCAL[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="sthalam-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+    return named.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """An eager checkpoint in the folder that the session names in spark.checkpoint.dir.
+    """`df` as a table written once in the shared folder and read again; lost executors lose nothing of it.
 
-    Only a session without that setting (a test on one machine) gets a folder of its own.
+    Compressed columns take less room than a checkpoint's rows, later steps read only the columns they need, and the planner knows
+    the table's size, so that it broadcasts by measured bytes and not by guess. Each run's tables are in a folder of the application's id,
+    which may go when the run has ended.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sthalam-checkpoint-"))
-    return df.checkpoint(eager=True)
+    at = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return spark.read.schema(df.schema).parquet(at)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,10 +66,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Bytes of files below which a table counts as small: one read split of the default size.
+SMALL_BYTES = 128 * 1024 * 1024
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """A table as it is read, dealt to all cores where its files give fewer partitions than there are cores.
+    """A table as it is read; a small one whose files give fewer partitions than there are cores is dealt to all cores first.
 
-    Only for tables straight from their files: a small one is shuffled once before work that is heavy for each row, a large one is never.
+    For work that is heavy for each row. What counts is the files' size as the planner knows it: a table of SMALL_BYTES or more is never
+    shuffled, however many cores there are; to deal such a one finer, lower spark.sql.files.maxPartitionBytes.
     """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    small = int(str(size)) < SMALL_BYTES
+    return df.repartition(cores) if small and df.rdd.getNumPartitions() < cores else df
