@@ -31,30 +31,44 @@ _TAGGED = re.compile(_CUE + r"(?:\+?91[ -]?)?(?:NO:)?(?:\d{4}[ -]\d{4}[ -]\d{4}|
 _LONG = re.compile(r"\+91[ -]?\d{5}[ -]?\d{5}|\b\d{4}[ -]\d{4}[ -]\d{4}\b|\b\d{5}[ -]\d{5}\b|\b\d{7,}\b|\b[A-Z]{5}\d{4}[A-Z]\b|\b[A-Z]{1,3}\d{7}\b|\b[A-Z]{2}\d{2} ?\d{11}\b")
 _FLOOR = re.compile(r"\b(?:\d+(?:ST|ND|RD|TH)|GROUND|FIRST|SECOND|THIRD|FOURTH|TOP) (?:FLOOR|FLR)\b|\bSHOP ?@ ?CORNER\b")
 _FIRM = re.compile(rf"(?:\b(?:M/S|C/O|CARE OF|KIND ATTN:?|ATTN:?) *)?(?:M/S )?\b\w+ (?:\w+ )?{FIRM}\b(?: (?:PVT LTD|LTD|LLP|PRIVATE LIMITED))?|(?:\b(?:M/S|C/O|ATTN:?) *)(?:\w+ ){{1,3}}?(?:PVT LTD|LTD|LLP)\b")
-#: Without one of these the slower patterns can't match.
-_AT, _FIRM_WORD = re.compile(r"@|[(\[]AT[)\]]"), re.compile(rf"{FIRM}\b|\b(?:LTD|LLP)\b")
-_PERSON = re.compile(r"\b(?:[SWDHC]/O\b\.?|CARE OF|SON OF|WIFE OF|DAUGHTER OF|KIND ATTN:?|ATTN:?|OWNER:?)[: ]*(?:(?:MR|MS|MRS|SHRI|SMT|DR)\b\.? *)?(?:LATE )?(?:[A-Z] [A-Z]{3,}|[A-Z]{3,}(?: [A-Z])? [A-Z]{3,})|\b(?:MR|MS|MRS|SHRI|SMT|DR)\b\.? *(?:LATE )?(?:[A-Z] [A-Z]{3,}|[A-Z]{3,}(?: [A-Z])? [A-Z]{3,})")
+#: A text without any of these words can't match the pattern of that name, which is then not tried.
+_CUES = {
+    "further": {"NATIVE", "ALSO", "OLD", "PREV", "PREVIOUS", "WORKS", "R/O", "PERM", "PERMANENT", "RES", "OFFICE"},
+    "tagged": {"METER", "KHATA", "SY", "SURVEY", "RR", "CONSUMER", "ACCOUNT", "A/C", "PAN", "EPIC", "AADHAR", "AADHAAR", "UID", "PASSPORT", "DL", "ID", "VOTER", "CALL", "CELL", "PHONE", "TEL", "MOB", "MOBILE", "CONTACT", "PH", "WHATSAPP"},
+    "floor": {"FLOOR", "FLR", "CORNER"},
+    "firm": {"TRADERS", "FOODS", "ENTERPRISES", "LOGISTICS", "INDUSTRIES", "STORES", "AGENCIES", "SERVICES", "SOLUTIONS", "TECHNOLOGIES", "ASSOCIATES", "COMPANY", "CO", "LTD", "LLP", "LIMITED"},
+    "person": {"S/O", "W/O", "D/O", "H/O", "C/O", "CARE", "SON", "WIFE", "DAUGHTER", "ATTN", "OWNER", "MR", "MS", "MRS", "SHRI", "SMT", "DR"},
+    "near": {"NEAR", "NR", "OPP", "OPPOSITE", "BEHIND", "NEXT", "BESIDE", "ADJ"},
+}
+_WORD = re.compile(r"[A-Z]+(?:/[A-Z]+)?")
+_MANY = re.compile(r"\d{5}[ -]?\d\d|\d{4}[ -]\d{4}|[A-Z]\d{4}|[A-Z]\d\d \d{5}")
+_WHO = r"(?:LATE )?(?:[A-Z] [A-Z]{3,}|[A-Z]{2,}(?: [A-Z])? (?!(?:FLAT|FLT|HOUSE|PLOT|DOOR|BLOCK|UNIT|APT)\b)[A-Z]{3,})"
+_TITLE = r"(?:MR|MS|MRS|SHRI|SMT|DR)\b\.? *"
+_PERSON = re.compile(rf"\b(?:[SWDHC]/O\b\.?|CARE OF|SON OF|WIFE OF|DAUGHTER OF|KIND ATTN:?|ATTN:?|OWNER:?)[: ]*(?:{_TITLE})?{_WHO}|\b{_TITLE}{_WHO}")
 _NEAR_PLACE = re.compile(rf"{NEAR} *{PLACES}\b")
 _NEAR_BRAND = re.compile(rf"{NEAR} *([A-Z]+)(?: [A-Z]{{5,}}| [A-Z]{{2,5}} [A-Z]{{2,4}}\b)")
 _NEAR_OTHER = re.compile(rf"{NEAR} *(?:[A-Z]{{12,}}|[A-Z]+ [A-Z]+)")
 _FURTHER = re.compile(FURTHER)
 _PIN = re.compile(r"(?<![\d/])[1-9]\d{2} ?\d{3}(?![\d/])")
-_DOORS = [(re.compile(p), wing, number) for p, wing, number in (
-    (r"\bFLA?T\.?(?: NO\.?)? ?(\d+[A-Z]?) ([A-H]) WING\b", 2, 1),
-    (r"\bFLA?T\.?(?: NO\.?)? ?(\d+[A-Z]?) TOWER ([A-H])\b", 2, 1),
-    (r"\bBLOCK ([A-H]) FLAT (\d+[A-Z]?)\b", 1, 2),
-    (r"\bF NO\.? ?([A-H])/(\d+[A-Z]?)\b", 1, 2),
-    (r"\b(\d+[A-Z]?) ?, ?([A-H]) BLOCK\b", 2, 1),
-    (r"\b(\d+[A-Z]?) ([A-H]) BLOCK\b", 2, 1),
-    (r"\b(?:FLAT|FLT|APT|UNIT)\b\.?(?: NO\b\.?)? ?(\d+[A-Z]?)\b", 0, 1),
-    (r"(?<![\w/])F[- ]?(\d{2,4})\b(?![/-])", 0, 1),  # F is short for flat, as in "F NO"; no wing has that letter
-    (r"(?<![\w/])([A-EGH])[- ]?(\d{2,4})\b(?![/-])", 1, 2),
-    (r"(?:\b(?:HOUSE NO|H NO|D\.? ?NO|DOOR NO|PLOT NO|NO)\b|#)[. ]*(\d+[A-Z]?(?:/\d+[A-Z]?)?)\b", 0, 1),
-    (r"(?:^|[|,;] *|  )(\d{1,4}[A-Z]?(?:/\d+[A-Z]?)?)(?![\w/])", 0, 1),
-    (r"(?<![\w/])(\d{1,4}[A-Z]?(?:/\d+[A-Z]?)?)(?![\w/])", 0, 1),
+#: (word that must stand in the text, pattern, group of the wing, group of the number), tried in this order.
+_DOORS = [(word, re.compile(p), wing, number) for word, p, wing, number in (
+    ("WING", r"\bFLA?T\.?(?: NO\.?)? ?(\d+[A-Z]?) ([A-Z]{1,2}) WING\b", 2, 1),
+    ("TOWER", r"\bFLA?T\.?(?: NO\.?)? ?(\d+[A-Z]?) TOWER ([A-Z]{1,2})\b", 2, 1),
+    ("BLOCK", r"\bBLOCK ([A-Z]{1,2}) FLAT (\d+[A-Z]?)\b", 1, 2),
+    ("F", r"\bF NO\.? ?([A-Z]{1,2})/(\d+[A-Z]?)\b", 1, 2),
+    ("BLOCK", r"\b(\d+[A-Z]?) ?, ?([A-Z]{1,2}) BLOCK\b", 2, 1),
+    ("BLOCK", r"\b(\d+[A-Z]?) ([A-Z]{1,2}) BLOCK\b", 2, 1),
+    (None, r"\b(?:FLAT|FLT|APT|UNIT)\b\.?(?: NO\b\.?)? ?(\d+[A-Z]?)\b", 0, 1),
+    (None, r"(?<![\w/])F[- ]?(\d{2,5})\b(?![/-])", 0, 1),  # F is short for flat, as in "F NO"; no wing has that letter
+    (None, r"(?<![\w/])((?<![A-Z] )X|[A-EG-WYZ])[- ]?(\d{2,5})\b(?![/-])", 1, 2),  # X after a word is short for cross
+    (None, r"(?:\b(?:HOUSE NO|H NO|D\.? ?NO|DOOR NO|PLOT NO|NO)\b|#)[. ]*(\d+[A-Z]?(?:/\d+[A-Z]?)?)\b", 0, 1),
+    (None, r"(?:^|[|,;] *|  )(\d{1,5}[A-Z]?(?:/\d+[A-Z]?)?)(?![\w/])", 0, 1),
+    (None, r"(?<![\w/])(\d{1,5}[A-Z]?(?:/\d+[A-Z]?)?)(?![\w/])", 0, 1),
 )]
 _KIND = {w.upper(): w.upper() for w in KINDS} | {a.upper(): b.upper() for a, b in SHORT.items()}
-_GLUED = re.compile(rf"^(\w{{4,}}?)({'|'.join(sorted((k for k in _KIND), key=len, reverse=True))})$")
+_FIXED = {w for w in (*SUFFIX, *STREET, *_KIND, "MAIN", "PHASE") if len(w) >= 4}
+_GLUED = re.compile(rf"^(\w{{2,}}?)({'|'.join(sorted((k for k in _KIND), key=len, reverse=True))})$")
+_CLEAN, _FILL, _CLAUSE, _PUNCT = re.compile(r"[^\w@#&/.,;:()\[\]+| -]"), re.compile(r"#{2,}|\*{2,}"), re.compile(r"[,;]|  +"), re.compile(r"[^A-Z0-9|^ ]+")
 _ROMAN = {"I": "1", "II": "2", "III": "3", "IV": "4", "1": "1", "2": "2", "3": "3", "4": "4"}
 
 
@@ -113,9 +127,13 @@ class Names:
 class Gazetteer:
     """The lists that the parser knows: localities (stem and kind, with their cities, ids and pins), cities, first words of project names."""
 
-    def __init__(self, localities: list[tuple[int, str, str | None, str | None]], brands: set[str]):
+    def __init__(self, spelt: list[tuple[int, str, str | None, str | None]], brands: set[str]):
+        # names of several words are held by their compact spelling and looked for in as many words as the longest has
+        localities = [(i, n, c and c.replace(" ", ""), p) for i, n, c, p in spelt]
         self.cities = Names({c for _, _, c, _ in localities if c})
+        self.city_words = max((len(c.split()) for _, _, c, _ in spelt if c), default=1)
         self.brands = Names(brands)
+        self.brand_sizes = sorted({len(b) for b in brands}, reverse=True)
         self.by_name: dict[tuple[str, str], dict[int, tuple[str | None, set[str]]]] = {}
         self.area: dict[str, str] = {}
         areas: dict[str, dict[str, int]] = {}
@@ -128,31 +146,34 @@ class Gazetteer:
                 areas.setdefault(pin[:3], {}).setdefault(city, 0)
                 areas[pin[:3]][city] += 1
             m = _GLUED.match(name.replace(" ", ""))
-            if m:
-                entry = self.by_name.setdefault((m[1], _KIND[m[2]]), {}).setdefault(i, (towns.get(i), set()))
-                if pin:
-                    entry[1].add(pin)
+            entry = self.by_name.setdefault((m[1], _KIND[m[2]]) if m else (name.replace(" ", ""), ""), {}).setdefault(i, (towns.get(i), set()))
+            if pin:
+                entry[1].add(pin)
         self.area = {a: max(sorted(c), key=c.get) for a, c in areas.items()}
         for places in self.by_name.values():
             for i, (city, pins) in list(places.items()):
                 places[i] = (city or next((self.area[p[:3]] for p in sorted(pins) if p[:3] in self.area), None), pins)
-        self.stems = {k: Names({s for s, kind in self.by_name if kind == k}) for k in set(_KIND.values())}
+        self.stems = {k: Names({s for s, kind in self.by_name if kind == k}) for k in {*_KIND.values(), ""}}
+        words = [(len(n.split()), bool(_GLUED.match(n.replace(" ", "")))) for _, n, _, _ in spelt]
+        self.plain_words = max((k for k, kind in words if not kind), default=0)  # of localities without a kind at their end
+        self.stem_words = max((k for k, kind in words if kind), default=1)  # a stem may also stand in one piece more than it is listed with
 
     def localities(self, stem: str, kind: str) -> list[tuple[str, str]]:
         return [(found, kind) for found in self.stems[kind].all(stem)]
 
 
 def _kind_at(tokens: list[str], i: int, g: Gazetteer) -> tuple[int, list[tuple[str, str]]] | None:
-    """(first token, localities one slip away) of a listed locality that ends at token i: glued, or with its stem in one or two pieces."""
-    kind = _KIND.get(tokens[i])
+    """(first token, localities one slip away) of a listed locality that ends at token i: glued, or with its stem in one or more pieces."""
+    t = tokens[i]
+    kind = _KIND.get(t)
     if kind:
-        for n in (1, 2):
-            if i >= n and all(t.isalpha() for t in tokens[i - n : i]):
-                found = g.localities("".join(tokens[i - n : i]), kind)
-                if found:
-                    return i - n, found
-        return None
-    m = _GLUED.match(tokens[i])
+        for n in range(1, g.stem_words + 1):
+            if i < n or not tokens[i - n].isalpha():
+                break
+            found = g.localities("".join(tokens[i - n : i]), kind)
+            if found:
+                return i - n, found
+    m = None if kind else _GLUED.match(t)
     if m:
         found = g.localities(m[1], _KIND[m[2]])
         if found:
@@ -161,6 +182,11 @@ def _kind_at(tokens: list[str], i: int, g: Gazetteer) -> tuple[int, list[tuple[s
             found = g.localities(tokens[i - 1] + m[1], _KIND[m[2]])
             if found:
                 return i - 1, found
+    for n in range(g.plain_words, 0, -1):  # names without a word for their kind, the longest first
+        if n <= i + 1 and all(x.isalpha() for x in tokens[i - n + 1 : i + 1]):
+            found = g.localities("".join(tokens[i - n + 1 : i + 1]), "")
+            if found:
+                return i - n + 1, found
     return None
 
 
@@ -170,53 +196,71 @@ def take_apart(address: str | None, zip_code: str | None, g: Gazetteer) -> dict[
     `name` is the compact spelling without the brand; a part that isn't there is null. A null or blank address has no parts.
     """
     out: dict[str, str | None] = dict.fromkeys(PARTS)
-    text = re.sub(r"[^\w@#&/.,;:()\[\]+| -]", " ", (address or "").upper()).replace("_", " ")
+    text = _CLEAN.sub(" ", (address or "").upper())
     if not text.strip():
         return out
-    cut = _FURTHER.search(text)
-    if cut:
-        text = text[: cut.start()]
-    text = re.sub(r"#{2,}|\*{2,}", " ", text)
-    for pattern, sign in ((_EMAIL, _AT), (_TAGGED, None), (_LONG, None), (_FLOOR, None), (_FIRM, _FIRM_WORD), (_PERSON, None)):
-        if sign is None or sign.search(text):
-            text = pattern.sub(" | ", text)
-    brand_at = lambda m: " | " if g.brands.find(m[1]) else m[0]
-    text = _NEAR_PLACE.sub(" | ", text)
-    text = _NEAR_BRAND.sub(brand_at, text)
-    text = _NEAR_OTHER.sub(" | ", text)
+    said = set(_WORD.findall(text))
+    says = lambda what: not said.isdisjoint(_CUES[what])
+    if says("further"):
+        cut = _FURTHER.search(text)
+        if cut:
+            text = text[: cut.start()]
+    text = _FILL.sub(" ", text)
+    if "@" in text or "(AT)" in text or "[AT]" in text:
+        text = _EMAIL.sub(" | ", text)
+    text = text.replace("_", " ")
+    if says("tagged"):
+        text = _TAGGED.sub(" | ", text)
+    if _MANY.search(text):
+        text = _LONG.sub(" | ", text)
+    if says("floor"):
+        text = _FLOOR.sub(" | ", text)
+    if says("firm"):
+        text = _FIRM.sub(" | ", text)
+    if says("person") or "/O" in text:
+        text = _PERSON.sub(" | ", text)
+    if says("near"):
+        text = _NEAR_PLACE.sub(" | ", text)
+        text = _NEAR_BRAND.sub(lambda m: " | " if g.brands.find(m[1]) else m[0], text)
+        text = _NEAR_OTHER.sub(" | ", text)
 
     pins = _PIN.findall(text)
     if pins:
         out["pin"] = pins[-1].replace(" ", "")
         text = _PIN.sub(" | ", text)
-    z = re.sub(r"\.0$", "", (zip_code or "").strip())
-    z = z if re.fullmatch(r"[1-9]\d{5}", z) else None
-    for pattern, wing, number in _DOORS:
-        m = pattern.search(text)
+    z = (zip_code or "").strip().removesuffix(".0")
+    z = z if len(z) == 6 and z.isascii() and z.isdigit() and z[0] != "0" else None
+    for word, pattern, wing, number in _DOORS:
+        m = pattern.search(text) if word is None or word in said else None
         if m:
             out["wing"], out["door"] = (m[wing] if wing else ""), m[number]
             text = f"{text[: m.start()]} ^ {text[m.end() :]}"
             break
-    text = re.sub(r"[,;]|  +", " | ", text)
-    text = re.sub(r"[^A-Z0-9|^ ]+", " ", text)
+    text = _PUNCT.sub(" ", _CLAUSE.sub(" | ", text))
     tokens = text.split()
+    for k in range(len(tokens) - 2, -1, -1):  # "R OAD", "NA GAR": a fixed word in two pieces
+        both = tokens[k] + tokens[k + 1]
+        if both in _FIXED and tokens[k] not in _FIXED and tokens[k + 1] not in _FIXED:
+            tokens[k : k + 2] = [both]
 
     # listed localities, then cities, become marks in the row of tokens
     places: list[list[tuple[str, str]]] = []
     i = len(tokens) - 1
     while i >= 0:
-        hit = _kind_at(tokens, i, g)
+        hit = _kind_at(tokens, i, g) if tokens[i].isalpha() else None
         if hit:
             places.append(hit[1])
             tokens[hit[0] : i + 1] = ["|"]
             i = hit[0]
         i -= 1
     city = None
-    for k, t in enumerate(tokens):
-        if t.isalpha() and len(t) > 4 and not _KIND.get(t):
-            found = g.cities.find(t)
-            if found:
-                city, tokens[k] = city or found, "|"
+    for n in range(g.city_words, 0, -1):
+        for k in range(len(tokens) - n + 1):
+            t = tokens[k] if n == 1 else "".join(tokens[k : k + n])
+            if t.isalpha() and t not in _KIND:
+                found = g.cities.find(t)
+                if found:
+                    city, tokens[k : k + n] = city or found, ["|"] * n
     near_pin = out["pin"] or z
     if places:
         # of several that are one slip away, and of several of one name, the city and then the pin decide
@@ -225,7 +269,7 @@ def take_apart(address: str | None, zip_code: str | None, g: Gazetteer) -> dict[
         if near_pin and len(fit) > 1:
             fit = [o for o in fit if near_pin in options[o][1]] or [o for o in fit if options[o][0] == g.area.get(near_pin[:3])] or fit
         if len({name for name, _ in fit}) == 1:
-            out["locality"] = " ".join(fit[0][0])
+            out["locality"] = " ".join(fit[0][0]).strip()
         if len(fit) == 1:
             out["locality_id"] = str(fit[0][1])
             city = city or options[fit[0]][0]
@@ -252,8 +296,8 @@ def take_apart(address: str | None, zip_code: str | None, g: Gazetteer) -> dict[
             words = [t for t in run[: k - main] if t.isalpha()]
             house = next((n for n, t in enumerate(words) if t in HOUSES), None)  # a house's name may stand before its street
             words = words if house is None else words[house + 1 :]
-            name = "".join(words[-3:])
-            if len(name) >= 6:
+            name = "".join(words)  # all words since the door, the separator or the house's name
+            if len(name) >= 2:
                 out.update(family="S", name=name, ending=("MAIN " if main else "") + STREET[run[k]])
                 return out
     # a building: the words with a known first word, else those after the door, else any before a suffix
@@ -281,9 +325,7 @@ def take_apart(address: str | None, zip_code: str | None, g: Gazetteer) -> dict[
             run = ([] if found else [t[len(glued) :]]) + rest
             break
     words: list[str] = []
-    k = 0
-    while k < len(run):
-        t = run[k]
+    for k, t in enumerate(run):  # a name is all words up to its ending
         if t in ("PHASE", "PH") and k + 1 < len(run) and run[k + 1] in _ROMAN:
             out["phase"] = _ROMAN[run[k + 1]]
             out["ending"] = f"PHASE {out['phase']}"
@@ -291,22 +333,20 @@ def take_apart(address: str | None, zip_code: str | None, g: Gazetteer) -> dict[
         if t in SUFFIX and words:
             out["ending"] = SUFFIX[t]
             break
+        if words and (t in _KIND or t.isdigit()):  # a locality that isn't listed: its stem is no part of the name
+            words = words[:-1] if t in _KIND and len(words) > 1 else words
+            break
         if t.isalpha() and not (len(t) == 1 and not words):
             words.append(t)
-        k += 1
-    name = ""
-    for t in words[:3]:  # a name is one word, or the pieces of one
-        if len(name) >= 7:
-            break
-        name += t
-    if len(name) >= 4:
+    name = "".join(words)
+    if len(name) >= 2:
         out.update(family="B", name=name)
     return out
 
 
 def _brand_before(token: str, g: Gazetteer) -> str | None:
-    """The first word that is glued before a longer token."""
-    return next((token[:n] for n in range(8, 4, -1) if len(token) >= n + 5 and token[:n] in g.brands.names), None)
+    """The longest first word that is glued before a longer token; what is left must be two letters or more."""
+    return next((token[:n] for n in g.brand_sizes if len(token) >= n + 2 and token[:n] in g.brands.names), None)
 
 
 PARTS = ("door", "wing", "family", "name", "brand", "ending", "phase", "locality", "locality_id", "city", "told", "pin")
@@ -327,10 +367,10 @@ def gazetteer(localities: DataFrame, catalogue: DataFrame) -> Gazetteer:
         raise ValueError("the list of localities is too long for every worker")
     w = F.split(F.trim(F.regexp_replace(F.upper("projectname"), r"[^\p{L}\p{N}]+", " ")), " ")
     own = F.filter(F.slice(w, 2, 100_000), lambda x: x.rlike(r"\p{L}") & ~x.isin(*SUFFIX, "PHASE", "PH", *_ROMAN))
-    first = cut_lineage(catalogue.select(F.get(w, F.lit(0)).alias("w"), F.array_join(own, "").alias("own")).where("length(w) >= 5 AND own <> ''").distinct())
+    first = cut_lineage(catalogue.select(F.get(w, F.lit(0)).alias("w"), F.array_join(own, "").alias("own")).where("length(w) >= 2 AND own <> ''").distinct())
     total = first.count()
     names = {r["w"]: r["count"] for r in first.groupBy("w").count().where(F.col("count") >= max(1, BRAND_SHARE * total)).collect()}
-    glued = lambda x: any(names.get(x[:n], 0) >= names[x] for n in range(5, len(x) - 3))
+    glued = lambda x: any(names.get(x[:n], 0) >= names[x] for n in range(2, len(x) - 1))
     brands = {x for x in names if not glued(x)}
     return Gazetteer([tuple(r) for r in sorted(rows, key=str)], brands)
 

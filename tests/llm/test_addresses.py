@@ -10,7 +10,7 @@ from sthalam.llm import canonical as C
 from sthalam.llm.address_parts import Gazetteer, Names, gazetteer, one_slip_apart, take_apart
 from sthalam.llm.linkage import collective_links, project_parts
 from sthalam.llm.proportions import Proportioned, latest_rules, required_rows
-from sthalam.llm.same_place import same_doors
+from sthalam.llm.same_place import door_links, same_doors
 
 LOCALITIES = [(1, "Mepema Nagar", "Velmora", "210001"), (2, "Kivure Puram", "Velmora", "210002"), (3, "Rimelu Vihar", "Punwadi", "395002"), (4, "Rimelu Vihar", "Nagvelli", "617002"), (1, "Mepema Nagar ", None, "210001")]
 G = Gazetteer([(i, n.strip().upper(), c and c.upper(), p) for i, n, c, p in LOCALITIES], {"ZENARA", "QUILLON", "TULIPA", "LUMORA"})
@@ -108,6 +108,38 @@ def test_same_doors(spark):
     assert same_doors(d.limit(0), g).count() == 0
 
 
+def test_doors_with_missing_parts(spark):
+    _, _, g = lists(spark)
+    rows = [
+        (1, "FLAT NO 506 A WING ZENARA MUSALIDA MEPEMA NAGAR VELMORA", None), (2, "FLAT 506 ZENARA MUSALIDA MEPEMA NAGAR VELMORA", None),  # the wing is missing, and only one wing has that flat
+        (3, "FLAT NO 7 A WING ZENARA MUSALIDA VELMORA", None), (4, "FLAT NO 7 B WING ZENARA MUSALIDA VELMORA", None), (5, "FLAT 7 ZENARA MUSALIDA VELMORA", None),  # two wings have it: whose is open
+        (6, "FLAT NO 91 KIVURE PURAM VELMORA", None), (7, "FLAT NO 91 QUILLON TUSESEVE KIVURE PURAM VELMORA", None),  # the name is missing, and only one building of the locality has that flat
+        (8, "FLAT NO 92 KIVURE PURAM VELMORA", None), (9, "FLAT NO 92 QUILLON TUSESEVE KIVURE PURAM VELMORA", None), (10, "FLAT NO 92 TULIPA KIRIRUTA KIVURE PURAM VELMORA", None),
+    ]
+    d = spark.createDataFrame(rows, "row_id bigint, address string, zip string")
+    assert {(r["row_id_a"], r["row_id_b"]) for r in same_doors(d, g).collect()} == {(1, 2), (6, 7)}
+    members, links = door_links(d, g)
+    assert members.count() == 10 and links.count() == 2
+
+
+SHORT = Gazetteer([(1, "OM NAGAR", "PUNE", "411001"), (2, "KORAMANGALA", "GOA", "403001"), (3, "BANDRA WEST", "NAVI MUMBAI", "400703"), (4, "MEPEMA NAGAR", "VELMORA", "210001")], {"DLF", "ZENARA"})
+
+
+@pytest.mark.parametrize(("address", "parts"), [
+    ("FLAT 12 M WING DLF PARK PLACE, OM NAGAR, PUNE", {"wing": "M", "door": "12", "brand": "DLF", "name": "PARKPLACE", "locality": "OM NAGAR", "city": "PUNE"}),
+    ("R-204 DLF SUN SHINE GREEN VALLEY HEIGHTS GOA", {"wing": "R", "door": "204", "brand": "DLF", "name": "SUNSHINEGREENVALLEY", "ending": "HEIGHTS", "city": "GOA"}),
+    ("NO 5 OLD GREEN LAKE TEMPLE ROAD, KORAMANGALA", {"door": "5", "family": "S", "name": "OLDGREENLAKETEMPLE", "locality": "KORAMANGALA", "city": "GOA"}),
+    ("NO 5 MG ROAD, KORAMANGLA, GOA", {"family": "S", "name": "MG", "locality": "KORAMANGALA"}),
+    ("FLAT 9 ZENARA OM TOWERS, BANDRA WEST, NAVI MUMBAI", {"name": "OM", "brand": "ZENARA", "locality": "BANDRAWEST", "city": "NAVIMUMBAI"}),
+    ("FLAT 9 DLFPARK, NAVIMUMBAI", {"name": "PARK", "brand": "DLF", "city": "NAVIMUMBAI"}),
+    ("FLAT 9 ZENARA TUSE R OAD", {"family": "S", "ending": "ROAD"}),
+    ("FLAT 9 ZENARA TUSESEVE UNLISTED NAGAR", {"family": "B", "name": "TUSESEVE"}),
+])
+def test_parser_has_no_letter_caps(address, parts):
+    got = take_apart(address, None, SHORT)
+    assert {k: got[k] for k in parts} == parts
+
+
 def test_links(spark):
     loc, cat, g = lists(spark)
     rows = [(1, "FLAT NO 506 A WING ZENARA MUSALIDA MEPEMA NAGAR VELMORA", None), (2, "A-9 TULIPA KIRIRUTA NEAR ZENARA MUSALIDA MEPEMA NAGAR VELMORA", None), (3, "B-1 ZENARA MUSALIDA RIMELU VIHAR PUNWADI", None), (4, "C 12 MUSALIDA APTS VELMORA", None), (5, None, None), (6, "#7 LUVUKI MIDA RD VELMORA", None)]
