@@ -2,29 +2,50 @@
 
 from __future__ import annotations
 
+import ast
 import functools
+import hashlib
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sthalam.llm.pii_labels import KINDS, labelled_rows
+from sthalam.session import shared_folder
 
 #: Rows of the labelled table that the model is trained on, and passes over them.
-TRAIN_ROWS, EPOCHS = 2400, 9
+TRAIN_ROWS, EPOCHS = 4000, 7
+#: A name begins only where it is e to this power times likelier than all else: names without a cue are told by their spelling alone.
+CAUTION = 1.0
 #: Words of the labelled table in which a feature must occur to have weights.
 LEAST = 4
 LABELS = ["O", *(f"{p}-{k}" for k in KINDS for p in "BI")]
 OFFSETS = (-2, -1, 0, 1, 2)
-TOKEN = re.compile(r"[^\s,;|]+")
 #: Words whose scores a worker keeps; beyond it the store is emptied.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 #: Words that may begin a further address (fixed values); whether one stands before a word is a feature of the word's place.
-CUES = {"NATIVE", "ALSO", "OLD", "OFFICE:", "OFFICE", "WORKS", "R/O", "PERM", "PREV", "RES"}
-_DIGITS = re.compile(r"^\D?\d+\D?$")
+CUES = {"NATIVE", "ALSO", "OLD", "OFFICE:", "OFFICE", "WORKS", "R/O", "PERM", "PERMANENT", "PREV", "PREVIOUS", "RES"}
+#: Titles before a person's name (fixed values).
+TITLES = {"MR", "MRS", "MS", "SHRI", "SMT", "KUM", "DR", "LATE", "PROF", "ADV"}
+NOT_AFTER = {"POST", "NEAR", "NR", "OPP", "BEHIND"}
+_DIGITS = re.compile(r"\D?\d+\D?")
+_NINES = str.maketrans("0123456789", "9" * 10)
+
+
+def word_key(word: str) -> str:
+    """What tells words with the same features: capitals, and figures as nines but for the first two of a long number."""
+    w = word.upper()
+    n = w.translate(_NINES)
+    if n == w and "9" not in w:
+        return w
+    if n.count("9") < 10:
+        return n
+    i = n.index("9")
+    return n[:i] + w[i : i + 3] + n[i + 3 :]
 
 
 def shape(word: str) -> str:
@@ -40,10 +61,15 @@ def word_features(word: str) -> list[str]:
     out = [f"w={w}" if not any(c.isdigit() for c in w) else "w=9", f"s={s}"]
     if "@" in w or "(AT)" in w or "[AT]" in w:
         out.append("at" if len(w) > 5 else "at-sign")
-    if re.search(r"\.(?:EXAMPLE|TEST|INVALID|COM|IN|ORG|NET)\b", w):
-        out.append("top")
+    if re.search(r"[A-Z]\.[A-Z]{2,}$", w):
+        out.append("dot")
+    bare = w.strip(".:")
+    if bare in TITLES:
+        out.append("title")
+    elif re.fullmatch("[SWDH]/O", bare):
+        out.append("of")
     if w.isalpha():
-        out += [f"n={min(len(w), 12)}", f"cv={bool(re.fullmatch('(?:[PTKDMNLRSV][AEIU])+', w))}"]
+        out.append(f"n={min(len(w), 12)}")
         if len(w) > 3:
             out += [f"p2={w[:2]}", f"p3={w[:3]}", f"p4={w[:4]}", f"z2={w[-2:]}", f"z3={w[-3:]}", f"z4={w[-4:]}"]
     elif ":" in w or "-" in w:
@@ -54,39 +80,79 @@ def word_features(word: str) -> list[str]:
     return out
 
 
-def chain_features(words: list[str], gaps: list[bool]) -> list[list[str]]:
-    """What the model sees of each word's place: separators beside it, and the row of figure groups it belongs to."""
-    n, out = len(words), []
-    digit = [bool(_DIGITS.match(w)) for w in words]
-    runs = [""] * n
+class WordForm:
+    """What the place features need to know of a word: whether it is a group of figures, of how many, and whether a further address may begin with it."""
+
+    __slots__ = ("digits", "group", "cue", "bars")
+
+    def __init__(self, word: str):
+        up = word.upper()
+        self.group = bool(_DIGITS.fullmatch(word))
+        self.digits = sum(c.isdigit() for c in word)
+        self.cue, self.bars = up in CUES, up in NOT_AFTER
+
+
+def chain_features(forms: list[WordForm], gaps: list[bool]) -> tuple[list[tuple[int, str]], int]:
+    """((place, name of the row of figure groups it belongs to) of each word in one, first place after which a further address goes on).
+
+    With the separators beside a word and whether it is the first one, which need no names, these are what the model sees of a word's place.
+    """
+    n, runs, cue = len(forms), [], len(forms)
     i = 0
     while i < n:
-        j = i
-        while j < n and digit[j] and (j == i or not gaps[j]):
-            j += 1
-        if j - i > 1:
-            text = "-".join(str(len(re.sub(r"\D", "", w))) for w in words[i:j])
-            for k in range(i, j):
-                runs[k] = f"run={text[:16]},{k - i}"
-        i = max(j, i + 1)
-    cue = n
-    for i, w in enumerate(words):
-        up = w.upper()
-        if up in CUES and (i == 0 or words[i - 1].upper() not in ("POST", "NEAR", "NR", "OPP", "BEHIND")):
-            cue = min(cue, i)
-        x = [f"gap={gaps[i]},{gaps[i + 1] if i + 1 < n else 'end'}", "first" if i == 0 else "mid", f"further={cue < i}"]
-        if runs[i]:
-            x.append(runs[i])
-        out.append(x)
+        f = forms[i]
+        if f.cue and cue == n and not (i and forms[i - 1].bars):
+            cue = i
+        if f.group and i + 1 < n and forms[i + 1].group and not gaps[i + 1]:
+            j = i + 1
+            while j < n and forms[j].group and not gaps[j]:
+                j += 1
+            text = "-".join(str(x.digits) for x in forms[i:j])[:16]
+            runs += [(k, f"run={text},{k - i}") for k in range(i, j)]
+            i = j
+        else:
+            i += 1
+    return runs, cue
+
+
+def place_features(words: list[str], gaps: list[bool]) -> list[list[str]]:
+    """The names of each place's features, as the training sees them."""
+    runs, cue = chain_features([WordForm(w) for w in words], gaps)
+    n = len(words)
+    out = [[f"gap={gaps[i]},{gaps[i + 1] if i + 1 < n else 'end'}", "first" if i == 0 else "mid", f"further={cue < i}"] for i in range(n)]
+    for k, name in runs:
+        out[k].append(name)
     return out
 
 
-def split_words(text: str) -> tuple[list[tuple[int, int]], list[str], list[bool]]:
-    """(spans, words, whether a separator stands before each word)."""
-    spans = [m.span() for m in TOKEN.finditer(text)]
-    words = [text[a:b] for a, b in spans]
-    gaps = [k == 0 or bool(re.search(r"[,;|]|  ", text[spans[k - 1][1] : a])) for k, (a, _) in enumerate(spans)]
-    return spans, words, gaps
+class _Gaps(dict):
+    def __missing__(self, sep: str) -> bool:
+        x = self[sep] = bool(re.search(r"[,;|]|  ", sep))
+        return x
+
+
+_WORDS, _GAPS = re.compile(r"([^\s,;|]+)"), _Gaps()
+
+
+def split_words(text: str) -> tuple[list[str], list[str], list[bool]]:
+    """(words and what separates them, words, whether a separator stands before each word)."""
+    if len(_GAPS) > 100_000:
+        _GAPS.clear()
+    pieces = _WORDS.split(text)
+    words = pieces[1::2]
+    gaps = [_GAPS[x] for x in pieces[:-1:2]]
+    if gaps:
+        gaps[0] = True
+    return pieces, words, gaps
+
+
+def word_spans(pieces: list[str]) -> list[tuple[int, int]]:
+    at, out = 0, []
+    for k, x in enumerate(pieces):
+        if k % 2:
+            out.append((at, at + len(x)))
+        at += len(x)
+    return out
 
 
 def _pad(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -115,11 +181,12 @@ class Crf:
         types: dict[str, int] = {}
         words_of, places_of, gold = [], [], []
         for text, spans in rows:
-            at, words, gaps = split_words(text)
+            pieces, words, gaps = split_words(text)
             if not words:
                 continue
-            words_of.append(np.array([types.setdefault(w, len(types)) for w in words]))
-            places_of.append(chain_features(words, gaps))
+            at = word_spans(pieces)
+            words_of.append(np.array([types.setdefault(word_key(w), len(types)) for w in words]))
+            places_of.append(place_features(words, gaps))
             y = np.zeros(len(words), np.int64)
             for a, b, kind in spans:
                 inside = [i for i, (s, e) in enumerate(at) if s < b and e > a]
@@ -153,6 +220,9 @@ class Crf:
                     b += 0.01 * (g * g - b)
                     p -= eta * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
         self.w, self.v, self.t, self.start = (p.astype(np.float32) for p in params)
+        name = LABELS.index("B-person")
+        self.start[name] -= CAUTION
+        self.t[:, name] -= CAUTION
         # a span begins by its B label: I follows only B or I of its own kind
         for k in range(2, self.size, 2):
             self.start[k] = -1e4
@@ -228,65 +298,104 @@ class Crf:
         ids = self._ids(word_features(word), False)
         return self.w[:, ids].sum(axis=1) if ids else np.zeros((len(OFFSETS), self.size), np.float32)
 
+    def _place(self, name: str) -> np.ndarray:
+        n = self.places.get(name)
+        return np.zeros(self.size, np.float32) if n is None else self.v[n]
+
     def decode(self, texts: list[str | None]) -> list[list[tuple[int, int, str]]]:
         """The spans (from, to, kind) of every text, by Viterbi over batches of texts of like length."""
         found: list[list[tuple[int, int, str]]] = [[] for _ in texts]
         split = [(i, *split_words(t)) for i, t in enumerate(texts) if t]
         split = sorted((x for x in split if x[2]), key=lambda x: len(x[2]))
-        store = _STORE.setdefault(id(self), {})
-        for k in range(0, len(split), 512):
-            part = split[k : k + 512]
-            if len(store) > KEPT_WORDS:
-                store.clear()
+        store = _STORE.setdefault(id(self), _Words(self))
+        gap = np.stack([np.stack([self._place(f"gap={a},{b}") for b in (False, True, "end")]) for a in (False, True)])
+        first, mid, before, after = (self._place(x) for x in ("first", "mid", "further=False", "further=True"))
+        at = 0
+        while at < len(split):
+            most = len(split[min(at + 1023, len(split) - 1)][2])
+            size = max(1, min(1024, 200_000 // most))  # very long texts are few to a batch
+            part = split[at : at + size]
+            at += size
+            store.trim()
             b, t = len(part), len(part[-1][2])
-            types: dict[str, int] = {}
-            padded = np.full((b, t), -1, np.int64)
-            for r, (_, _, words, _) in enumerate(part):
-                padded[r, : len(words)] = [types.setdefault(w, len(types)) for w in words]
-            table = np.zeros((len(types) + 1, len(OFFSETS), self.size), np.float32)
-            for w, n in types.items():
-                v = store.get(w)
-                if v is None:
-                    v = store[w] = self.word_scores(w)
-                table[n] = v
-            e = np.zeros((b, t, self.size), np.float32)
+            ids, gaps = np.full((b, t), -1, np.int64), np.full((b, t + 1), 2, np.int8)
+            cues, runs = np.empty(b, np.int64), []
+            for r, (_, _, words, g) in enumerate(part):
+                n = len(words)
+                known = [store[w] for w in words]
+                ids[r, :n] = known
+                gaps[r, :n] = g
+                own, cues[r] = chain_features([store.forms[k] for k in known], g)
+                runs += [(r, k, name) for k, name in own]
+            table = store.table()
+            live = ids >= 0
+            e = gap[np.minimum(gaps[:, :t], 1), gaps[:, 1:]]
+            e[:, 0] += first
+            e[:, 1:] += mid
+            e += np.where((np.arange(t)[None, :] > cues[:, None])[:, :, None], after, before)
             for o, d in enumerate(OFFSETS):
                 lo, hi = max(0, -d), t - max(0, d)
                 if hi > lo:
-                    e[:, lo:hi] += table[padded[:, lo + d : hi + d], o]
-            flat, rows, cols = [], [], []
-            for r, (_, _, words, gaps) in enumerate(part):
-                for c, x in enumerate(chain_features(words, gaps)):
-                    for f in x:
-                        n = self.places.get(f)
-                        if n is not None:
-                            flat.append(n)
-                            rows.append(r)
-                            cols.append(c)
-            np.add.at(e, (np.array(rows), np.array(cols)), self.v[np.array(flat)])
-            path = self._viterbi(e, padded >= 0)
-            for r, (i, spans, words, _) in enumerate(part):
-                found[i] = _spans(path[r, : len(words)].tolist(), spans)
+                    e[:, lo:hi] += table[ids[:, lo + d : hi + d], o]  # -1 is the last row, of zeros
+            for r, k, name in runs:
+                e[r, k] += self._place(name)
+            path = self._viterbi(e, live)
+            for r in np.flatnonzero((path > 0).any(axis=1)).tolist():
+                i, pieces, words, _ = part[r]
+                found[i] = _spans(path[r, : len(words)].tolist(), word_spans(pieces))
         return found
 
     def _viterbi(self, e: np.ndarray, live: np.ndarray) -> np.ndarray:
         b, t, n = e.shape
-        back = np.zeros((b, t, n), np.int16)
+        back = np.zeros((t, b, n), np.int8)
+        into = np.ascontiguousarray(self.t.T)  # (to, from)
         s = self.start + e[:, 0]
+        rows = np.arange(b)[:, None]
         for k in range(1, t):
-            x = s[:, :, None] + self.t
-            best = x.argmax(axis=1)
+            x = s[:, None, :] + into
+            best = x.argmax(axis=2)
+            top = np.take_along_axis(x, best[:, :, None], 2)[:, :, 0] + e[:, k]
             on = live[:, k, None]
-            back[:, k] = np.where(on, best, np.arange(n))
-            s = np.where(on, np.take_along_axis(x, best[:, None, :], 1)[:, 0] + e[:, k], s)
+            back[k] = np.where(on, best, np.arange(n))
+            s = np.where(on, top, s)
         path = np.zeros((b, t), np.int64)
         path[:, -1] = s.argmax(axis=1)
         for k in range(t - 1, 0, -1):
-            path[:, k - 1] = back[np.arange(b), k, path[:, k]]
-        return path
+            path[:, k - 1] = back[k][rows[:, 0], path[:, k]]
+        return np.where(live, path, 0)
+
+
+class _Words(dict):
+    """The number of each spelling and the scores and form of each number; emptied beyond KEPT_WORDS."""
+
+    def __init__(self, crf: Crf):
+        super().__init__()
+        self.crf, self.keys, self.forms = crf, {}, []
+        self.scores = np.zeros((1024, len(OFFSETS), crf.size), np.float32)
+
+    def __missing__(self, word: str) -> int:
+        key = word_key(word)
+        n = self.keys.get(key)
+        if n is None:
+            n = self.keys[key] = len(self.forms)
+            self.forms.append(WordForm(word))
+            if n + 1 >= len(self.scores):
+                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+            self.scores[n] = self.crf.word_scores(key)
+        self[word] = n
+        return n
+
+    def table(self) -> np.ndarray:
+        self.scores[-1] = 0
+        return self.scores
+
+    def trim(self) -> None:
+        if len(self) > KEPT_WORDS:
+            self.clear()
+            self.keys, self.forms = {}, []
 
 
-_STORE: dict[int, dict[str, np.ndarray]] = {}
+_STORE: dict[int, _Words] = {}
 
 
 def _group_sums(values: np.ndarray, groups: np.ndarray, n: int) -> np.ndarray:
@@ -323,12 +432,44 @@ def _spans(path: list[int], at: list[tuple[int, int]]) -> list[tuple[int, int, s
     return [tuple(x) for x in out]
 
 
+    # --- keeping
+    def parts(self) -> list[tuple[str, bytearray]]:
+        """The model as named blocks of bytes."""
+        arrays = {"w": self.w, "v": self.v, "t": self.t, "start": self.start}
+        names = {"index": "\n".join(self.index), "places": "\n".join(self.places), "shapes": repr({k: a.shape for k, a in arrays.items()})}
+        return [(k, bytearray(a.tobytes())) for k, a in arrays.items()] + [(k, bytearray(x.encode())) for k, x in names.items()]
+
+    @classmethod
+    def of_parts(cls, parts: dict[str, bytes]) -> Crf:
+        m = cls()
+        shapes = ast.literal_eval(parts["shapes"].decode())
+        for k, shape in shapes.items():
+            setattr(m, k, np.frombuffer(parts[k], np.float32).reshape(shape).copy())
+        m.index, m.places = ({x: i for i, x in enumerate(parts[k].decode().split("\n"))} for k in ("index", "places"))
+        return m
+
+
 @functools.cache
 def model(rows: int = TRAIN_ROWS, epochs: int = EPOCHS) -> Crf:
     """The model for the labelled table of so many rows, trained once in a process."""
     return Crf().train(labelled_rows(rows), epochs)
 
 
+def kept_model(spark: SparkSession, rows: int = TRAIN_ROWS, epochs: int = EPOCHS) -> Crf:
+    """The model, trained once: its weights are a small table in the shared folder, which later sessions read.
+
+    The table's name tells the labelled table and the settings, so changed ones are trained anew.
+    """
+    mark = hashlib.md5(repr((labelled_rows(200), rows, epochs, LEAST, CAUTION, LABELS, OFFSETS, word_features("S/O."), word_features("RAMESH"))).encode()).hexdigest()
+    at = f"{shared_folder(spark)}/crf-{mark}"
+    try:
+        return Crf.of_parts({r["name"]: bytes(r["data"]) for r in spark.read.parquet(at).collect()})
+    except AnalysisException:  # no such table
+        m = model(rows, epochs)
+        spark.createDataFrame(m.parts(), "name string, data binary").coalesce(1).write.mode("overwrite").parquet(at)
+        return m
+
+
 def _holds(text: str, kind: str) -> bool:
     """Whether a span can be what the model takes it for."""
     figures = sum(c.isdigit() for c in text)
@@ -350,7 +491,7 @@ def personal_spans(rows: DataFrame, *, key: str = "row_id", text: str = "address
     A null or empty text has no spans and stays as it is; a null key and repeated rows are kept; other columns aren't read; texts
     are read whole. Only the trained weights are sent to the workers; there is no shuffle.
     """
-    crf = crf or model()
+    crf = crf or kept_model(rows.sparkSession)
     kind = rows.schema[key].dataType.simpleString()
     shared = rows.sparkSession.sparkContext.broadcast(crf)  # a few megabytes, whatever the number of rows
 

@@ -1,7 +1,9 @@
 """A small labelled table of addresses with personal information, written by a rule.
 
-No labelled rows come with the data, so the table is made: each row is put together from the forms that free-text
-addresses take, with every word's label known. All names are invented. The words below are fixed values.
+No labelled rows come with the data, so the table is made: each row is put together from the forms that free-text addresses
+take, with every word's label known. Names, places and mail domains are ordinary ones (fixed values below) or are spelt at random; none is taken from
+a table that the model is meant for, and tests compare them with the test tables. The forms themselves (cues such as S/O, units, ends of
+streets, areas and firms) are those of Indian postal addresses.
 """
 
 from __future__ import annotations
@@ -9,21 +11,36 @@ from __future__ import annotations
 import random
 
 KINDS = ["person", "email", "phone", "identity", "address"]
-FIRST = ["OMVI", "JEEVO", "NISHA", "RAMO", "KAVO", "MALHI", "SUNE", "HARI", "LATHI", "DEVA", "ANJO", "VINO", "BHAVO", "SATVO", "TEYA", "RUKSHA", "PARTHU", "CHITRO", "MEHU", "YOGI", "USHMI", "VIMA", "SURE", "PRIYA", "GOPA", "LAKSHMI"]
-FIRST_END = ["KESH", "NESH", "RIN", "DEEP", "LIKA", "TRA", "VEL", "PAL", "MOY", "WATI", "SHANI", "THUK", "NANDU", "NTH", "JEET", "MATI"]
-LAST = ["VARDH", "GAVL", "MENT", "TAMB", "SHETG", "IYENG", "CHELV", "ZAVL", "KOLH", "PILL", "RATHV", "DHORK", "JADV", "UPADR", "BAND", "WAGH", "NADK", "KULK", "DESHP", "BHATT"]
-LAST_END = ["APPA", "AR", "WAR", "ANI", "OLU", "EKAL", "ETKAR", "ONI", "URI", "AGI", "AVAR", "ALU", "ANAR", "ATI"]
-BRANDS = ["ZENARA", "YUVORA", "HARSONA", "QUILLON", "NORVANTI", "KESTRELO", "LUMORA", "OPALINE", "WINDORA", "TULIPA", "URBANIX", "GREVILLO", "BRINDAL", "VAYBHAV", "CEDARNO", "MANDVI", "SUVARNA", "FAIRWYN", "XENIVA", "UJVALA", "TARANGI", "DIVYORA", "ROSALIN", "ELANTRA", "FERNVALE", "JALVIKA", "DHRUVIKA", "NILGORA", "VISTARA", "DUNMORA", "WESTORA", "CASARIO", "GOLDARA", "AMBERLIN", "YASHORA", "BLUVERA", "JASVORA", "RIVANTA", "ESTORA", "INDRANI", "ASPENOR", "MERIDIQ", "CORVANE", "HILLMORA", "BHAVYAM", "KALPORA", "ORVELLA", "PRAMUKTA", "ZEPHORA", "EMBERLY", "SKYLORA", "HAVENOR", "GULMIRA", "PALMIRA", "AURELIS", "IRONVIA", "QUARTO", "LAKEVA", "FLORANA"]
-CITIES = ["VELMORA", "KOTHANDRA", "SUMBAIRI", "DRELIPUR", "PUNWADI", "LUKHORA", "AHMISTAN", "GURVETA", "HASKANAD", "MYSANDI", "CHENOVAR", "NAGVELLI"]
+FIRST = (
+    "AARAV ADITYA AJAY AKASH ALOK AMIT AMRITA ANAND ANIL ANJALI ANKIT ANUPAMA APARNA ARJUN ARUN ASHA ASHOK BALAJI BHARAT BHAVNA CHANDAN CHETAN DEEPAK DEEPTI DHRUV DILIP DIVYA FARHAN FATIMA GAURAV GEETA GOVIND HARISH HEMANT IMRAN INDIRA "
+    "ISHAAN JAGDISH JAYA JITENDRA JYOTI KAILASH KAMALA KARAN KAVITA KIRAN KISHORE KRISHNA LALIT LATA MADHAV MANISH MANOJ MEERA MOHAN MUKESH NANDINI NAVEEN NEHA NILESH NIRMALA NITIN OMKAR PANKAJ POOJA PRADEEP PRAKASH PRASAD PRATIMA PREM RADHA "
+    "RAHUL RAJAT RAMESH RANJIT RASHID REKHA ROHAN RUBINA SACHIN SALMA SANDEEP SANJAY SARITA SATISH SEEMA SHANKAR SHEELA SHIVANI SHYAM SMITA SNEHA SUBHASH SUDHA SUJATA SURESH SUSHMA SWATI TANVI TARUN UDAY UMESH VARSHA VASANT VIJAY VIKRAM VINAY VIVEK YASH ZAKIR ZOYA "
+    "ALICE ANDREW CAROL DANIEL DAVID EDWARD EMMA GEORGE HELEN JAMES JOHN JOSEPH LAURA MARIA MARTIN MICHAEL NANCY PAUL PETER ROBERT SARAH STEPHEN SUSAN THOMAS WILLIAM"
+).split()
+LAST = (
+    "ACHARYA AGARWAL AHUJA ANSARI APTE ARORA BAJAJ BALAKRISHNAN BANERJEE BASU BHARGAVA BHATIA BHAT BHOSALE BISWAS BOSE CHAKRABORTY CHANDRA CHATTERJEE CHAUHAN CHOPRA CHOUDHARY DALAL DATTA DHAWAN DIXIT DUBEY DUTTA GADKARI GANDHI GARG GHOSH GILL GOKHALE GOWDA GUPTA HEGDE HUSSAIN IYER JADHAV JAIN JHA JOSHI KADAM "
+    "KAMATH KAPOOR KARANDIKAR KAUR KHAN KHANNA KOHLI KRISHNAN KULKARNI MAHAJAN MALHOTRA MALIK MATHUR MEHTA MISHRA MITRA MODI MUKHERJEE MURTHY NADAR NAIDU NAIK NAIR NAMBIAR NANDA NATARAJAN PANDEY PAREKH PATEL PATIL PAWAR PILLAI PRABHU RAMASWAMY RAMAN RANGANATHAN RAO RASTOGI RATHORE REDDY ROY SAHA SAWANT SAXENA "
+    "SEN SETHI SHAH SHAIKH SHETTY SHINDE SHUKLA SINGH SINHA SIDDIQUI SOLANKI SRINIVASAN SUBRAMANIAM TAMBE TANDON THAKUR TIWARI TRIPATHI TRIVEDI UPADHYAY VARGHESE VARMA VENKATARAMAN VERMA VYAS WADEKAR YADAV ZAVERI "
+    "ADAMS BAKER BROWN CLARK COLLINS DSOUZA EVANS FERNANDES HARRIS JACKSON JOHNSON LEWIS MILLER MOORE PEREIRA SMITH TAYLOR TURNER WALKER WILSON"
+).split()
+#: Roots and ends from which further given names and surnames are put together.
+ROOTS = "AMAR BAL CHAND DEV GAJ GIR HEM INDU JAG JAI KAMAL LOK MAN MUKT NAG NITY PADM PRABH RAGH RAM RATN SATY SHIV SOM SUR TEJ UM VAS VIR YOG".split()
+GIVEN_ENDS = "ESH ENDRA INDER ANATH APPA AMMA ANAND ITA INI DEEP PAL RAJ DAS VEER JEET MANI PRIYA WATI DEVI LAL KANT NANDAN".split()
+SUR_ENDS = "KAR EKAR WALA ANI APPA AIAH SWAMY AN AIYAR ATH KOTI PALLI GIRI RAJU PUTRA WAL".split()
+BRANDS = "PRESTIGE BRIGADE SOBHA GODREJ LODHA HIRANANDANI RAHEJA OBEROI KALPATARU PURAVANKARA EMBASSY SALARPURIA MANTRI TATA SHRIRAM ADARSH MAHINDRA UNITECH ANSAL OMAXE PARSVNATH ELDECO GAURS SUPERTECH AMRAPALI KOLTE MARATHON RUSTOMJEE WADHWA SUNTECK DLF".split()
+TITLES = "SUNSHINE GREEN ROYAL PALM VIEW SILVER GOLDEN OAK MAPLE ORCHID LOTUS ROSE RIVER VALLEY SPRING CRYSTAL PEARL EMERALD DIAMOND STAR MOON SKY GRAND FIELD MEADOW HILL OCEAN SEA BREEZE WHITE BLUE".split()
+CITIES = "MUMBAI DELHI CHENNAI KOLKATA HYDERABAD BENGALURU NAGPUR INDORE BHOPAL JAIPUR LUCKNOW SURAT VADODARA RAJKOT NASHIK MYSURU MANGALURU KOCHI MADURAI SALEM PATNA RANCHI KANPUR AGRA GOA NOIDA THANE".split()
+STEMS = "INDIRA SHIVAJI JAWAHAR SUBHASH TILAK AZAD LAXMI SARASWATI GANESH HANUMAN VIVEKANANDA TAGORE RAJAJI PATEL ASHOKA VIJAYA SHANTI ANANDA MAHATMA STATION CHURCH MARKET HOSPITAL COLLEGE FORT BEACH MILL".split()
 AREAS = ["NAGAR", "NGR", "GARDENS", "GDNS", "HALLI", "VIHAR", "WADI", "PETE", "LAYOUT", "LYT", "EXTENSION", "EXTN", "PURAM", "PM", "COLONY", "CLNY"]
 STREETS = ["STREET", "ST", "STR", "STRT", "ROAD", "RD", "RD.", "RAOD", "LANE", "LN", "MARG", "MRG", "CROSS", "CRS", "X", "MAIN ROAD", "MN RD", "MAIN RD"]
 ENDINGS = ["RESIDENCY", "RESI", "ENCLAVE", "ENCL", "HABITAT", "HEIGHTS", "HTS", "TOWERS", "TWRS", "TOWER", "APARTMENT", "APARTMENTS", "APTS", "APPT", "GARDENS", "GDNS", "PHASE I", "PHASE II", "PHASE 1", "PHASE 2", "PH 1", "PH 2", "", "", "", ""]
-FIRMS = ["TRADERS PVT LTD", "FOODS LLP", "ENTERPRISES", "LOGISTICS LTD", "TRADERS", "INDUSTRIES LTD", "STORES"]
-FURTHER = ["NATIVE", "ALSO AT", "OLD ADDRESS", "OFFICE:", "WORKS AT", "R/O", "PERM ADD:"]
+FIRMS = ["TRADERS PVT LTD", "FOODS LLP", "ENTERPRISES", "LOGISTICS LTD", "TRADERS", "INDUSTRIES LTD", "STORES", "AGENCIES", "FOODS PVT LTD", "LOGISTICS", "SERVICES LTD", "TECHNOLOGIES PVT LTD", "SOLUTIONS LLP", "MOTORS", "TEXTILES LTD"]
+FURTHER = ["NATIVE", "NATIVE PLACE", "ALSO AT", "OLD ADDRESS", "OLD ADD", "PREV ADD", "OFFICE:", "WORKS AT", "R/O", "PERM ADD:", "PERMANENT ADDRESS", "RES ADD"]
 METERS = ["METER NO", "KHATA", "SY NO", "RR NO", "CONSUMER NO", "PLOT NO", "ACCOUNT NO"]
-DOMAINS = ["inboxy", "mailbox", "postkal", "vaartha"]
-TOPS = ["example", "test", "invalid"]
-CONSONANTS, VOWELS = "PTKDMNLRSV", "AEIU"
+DOMAINS = ["gmail", "yahoo", "hotmail", "outlook", "rediffmail", "proton", "icloud", "zoho", "sify", "live"]
+TOPS = ["com", "in", "org", "net", "co.in", "info", "online"]
+SINGLE = "BCDFGHJKLMNPRSTVWXYZ"
+ONSETS, NUCLEI, CODAS = "B BH BR CH D DH DR F G GR H J K KH KR L M N P PH PR R S SH SR ST T TH TR V W Y Z".split(), "A AA AI E EE I IA O OO U".split(), ["", "", "", "", "L", "M", "N", "NT", "R", "SH", "T", "V"]
 
 
 class Maker:
@@ -31,7 +48,21 @@ class Maker:
         self.r = random.Random(seed)
 
     def word(self, syllables: int) -> str:
-        return "".join(self.r.choice(CONSONANTS) + self.r.choice(VOWELS) for _ in range(syllables))
+        """A made-up word: half of them of open syllables with single letters, half with clusters, long vowels and closed syllables."""
+        if self.r.random() < 0.6:
+            w = "".join(self.r.choice(SINGLE) + self.r.choice("AEIOU") for _ in range(syllables))
+            end = self.r.random()
+            return w + self.r.choice("LMNRST") if end < 0.12 else w[1:] if end < 0.2 else w
+        return "".join(self.r.choice(ONSETS) + self.r.choice(NUCLEI) + (self.r.choice(CODAS) if k else "") for k in range(syllables))
+
+    def given(self) -> str:
+        return self.r.choice(FIRST) if self.r.random() < 0.5 else self.r.choice(ROOTS) + self.r.choice(GIVEN_ENDS)
+
+    def surname(self) -> str:
+        return self.r.choice(LAST) if self.r.random() < 0.5 else self.r.choice(ROOTS) + self.r.choice(SUR_ENDS)
+
+    def stem(self) -> str:
+        return self.r.choice(STEMS) if self.r.random() < 0.15 else self.slip(self.word(self.r.choice([2, 3, 3])))
 
     def slip(self, w: str) -> str:
         """Now and then a word with a letter lost, doubled, changed or exchanged."""
@@ -46,14 +77,8 @@ class Maker:
     def letters(self, n: int) -> str:
         return "".join(self.r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(n))
 
-    def first(self) -> str:
-        return self.r.choice(FIRST) + self.r.choice(FIRST_END)
-
-    def last(self) -> str:
-        return self.word(3) if self.r.random() < 0.25 else self.r.choice(LAST) + self.r.choice(LAST_END)
-
     def flat(self) -> str:
-        n, w = self.r.choice("123456789") + self.digits(self.r.choice([2, 3])), self.r.choice("ABCDEF")
+        n, w = self.r.choice("123456789") + self.digits(self.r.choice([2, 3])), self.r.choice("ABCDEFGHJKLM")
         return self.r.choice([f"FLAT NO {n} {w} WING", f"FLT {n} TOWER {w}", f"BLOCK {w} FLAT {n}", f"F NO {w}/{n}", f"{n}, {w} BLOCK", f"{w}-{n}", f"{w} {n}", f"FLAT {n}", f"FLT NO {n}", f"APT {n}", f"UNIT {n}", f"#{n}", n])
 
     def house(self) -> str:
@@ -61,9 +86,9 @@ class Maker:
         return self.r.choice([f"NO {n}", f"NO.{n}", f"H NO {n}", f"HOUSE NO {n}", f"D.NO {n}", f"DOOR NO {n}", f"#{n}", n])
 
     def project(self) -> str:
-        brand = self.r.choice(BRANDS) if self.r.random() < 0.9 else self.word(3)
-        name = self.slip(self.word(4))
-        both = f"{brand}{name}" if self.r.random() < 0.05 else f"{brand} {name}" if self.r.random() < 0.93 else name
+        brand = self.r.choice(BRANDS) if self.r.random() < 0.35 else self.word(self.r.choice([2, 3]))
+        name = " ".join(self.r.sample(TITLES, self.r.choice([1, 1, 2]))) if self.r.random() < 0.15 else self.slip(self.word(self.r.choice([2, 3, 4])))
+        both = f"{brand}{name}" if self.r.random() < 0.05 else f"{brand} {name}" if self.r.random() < 0.9 else name
         return f"{both} {self.r.choice(ENDINGS)}".strip()
 
     def place(self) -> list[str]:
@@ -71,15 +96,17 @@ class Maker:
         if self.r.random() < 0.6:
             parts = [f"{self.flat()} {self.project()}"]
         else:
-            parts = [f"{self.house()} {self.slip(self.word(3))} {self.word(2)} {self.r.choice(STREETS)}"]
+            parts = [f"{self.house()} {self.stem()} {self.word(2) + ' ' if self.r.random() < 0.75 else ''}{self.r.choice(STREETS)}"]
             if self.r.random() < 0.12:
-                parts.append(f"{self.first()} {self.r.choice(['NIVAS', 'BHAVAN', 'SADAN', 'KUTIR', 'VILLA'])}")
+                parts.append(f"{self.given()} {self.r.choice(['NIVAS', 'BHAVAN', 'SADAN', 'KUTIR', 'VILLA'])}")
                 self.r.shuffle(parts)
         if self.r.random() < 0.85:
             area = self.r.choice(AREAS)
-            parts.append(f"{self.slip(self.word(3))}{'' if self.r.random() < 0.06 else ' '}{area}")
+            parts.append(f"{self.stem()}{'' if self.r.random() < 0.06 else ' '}{area}")
         if self.r.random() < 0.7:
-            parts.append(self.slip(self.r.choice(CITIES)))
+            parts.append(self.slip(self.r.choice(CITIES)) if self.r.random() < 0.3 else self.word(3))
+            if self.r.random() < 0.1:
+                parts.append(parts[-1])
         if self.r.random() < 0.4:
             pin = self.r.choice("23456") + self.digits(5)
             parts.append(f"{pin[:3]} {pin[3:]}" if self.r.random() < 0.25 else pin)
@@ -88,16 +115,17 @@ class Maker:
         return parts
 
     def person(self) -> tuple[str, str]:
-        """(words before the name that aren't part of it, name)."""
-        f, last, i = self.first(), self.last(), self.r.choice("ABCDGHJKMNPRSTV")
-        name = self.r.choice([f"{f} {last}", f"{last} {f}", f"{f} {i} {last}", f"{i} {last}", f"{f} {last}", f"{last} {f}"])
+        """(words before the name that aren't part of it, name). After a cue a name may be any words, without one it is a name's own spelling that tells."""
+        cue = self.r.choice(["S/O", "W/O", "D/O", "D/O.", "S/O.", "C/O", "C/O", "H/O", "CARE OF", "SON OF", "WIFE OF", "DAUGHTER OF", "ATTN", "KIND ATTN:", "ATTN:", "MR", "MR.", "MS", "MRS", "MRS.", "SHRI", "SMT", "DR", "OWNER", "OWNER:", "KIND ATTN: MS", "ATTN: MR", "", ""])
+        odd = cue and self.r.random() < 0.35
+        f, last, i = (self.word(self.r.choice([2, 3, 4])) if odd else self.given()), (self.word(self.r.choice([2, 3])) if odd else self.surname()), self.r.choice("ABCDGHJKLMNPRSTVY")
+        name = self.r.choice([f"{f} {last}", f"{f} {last}", f"{last} {f}", f"{f} {i} {last}", f"{f} {i}. {last}", f"{i} {last}" if cue else f"{i} {f} {last}", f"{f} {last}", f"{f} {self.given()} {last}", f"{f} {self.given()} {self.given()} {last}" if self.r.random() < 0.3 else f"{f} {self.given()} {last}", f"{last} {f}"])
         late = "LATE " if self.r.random() < 0.15 else ""
-        cue = self.r.choice(["S/O", "W/O", "D/O", "D/O.", "S/O.", "C/O", "CARE OF", "SON OF", "WIFE OF", "ATTN", "KIND ATTN:", "ATTN:", "MR", "MS", "SHRI", "SMT", "OWNER", "KIND ATTN: MS", "ATTN: MR", "", "", ""])
         return (f"{cue} {late}".strip() if cue else "", name)
 
     def email(self) -> tuple[str, str]:
-        user = self.first() + self.r.choice(["", ".", "_"]) + self.last() + self.r.choice(["", self.digits(1), self.digits(2)])
-        d, t = self.r.choice(DOMAINS), self.r.choice(TOPS)
+        user = self.given() + self.r.choice(["", ".", "_"]) + self.surname() + self.r.choice(["", self.digits(1), self.digits(2)])
+        d, t = self.r.choice(DOMAINS) if self.r.random() < 0.4 else self.word(2).lower(), self.r.choice(TOPS) if self.r.random() < 0.7 else self.word(self.r.choice([1, 2])).lower()
         mail = self.r.choice([f"{user}@{d}.{t}"] * 5 + [f"{user}@ {d}.{t}", f"{user} (at) {d}.{t}", f"{user}[at]{d} dot {t}", f"{user} [at] {d} dot {t}"])
         mail = mail if self.r.random() < 0.3 else mail.lower()
         if self.r.random() < 0.12:
@@ -135,14 +163,14 @@ class Maker:
         r = self.r.random
         if r() < 0.35:
             where = self.r.choice(["NEAR", "NR", "OPP", "BEHIND", "NEXT TO"])
-            what = self.r.choice(["PARK", "SCHOOL", "WATER TANK", "TEMPLE", "POST OFFICE", "BUS STAND", "LAKE", "GOVT SCHOOL"]) if r() < 0.6 else self.project()
+            what = self.r.choice(["PARK", "SCHOOL", "MARKET", "HOSPITAL", "WATER TANK", "TEMPLE", "POST OFFICE", "BUS STAND", "LAKE", "GOVT SCHOOL"]) if r() < 0.5 else self.project()
             out.insert(self.r.randrange(1, len(out) + 1), (f"{where} {what}", None))
         if r() < 0.15:
             out.insert(self.r.randrange(1, len(out) + 1), (self.r.choice(["2ND FLOOR", "FIRST FLOOR", "GROUND FLR", "3RD FLR", "SHOP @ CORNER"]), None))
         if r() < 0.25:
             out.insert(self.r.randrange(1, len(out) + 1), (f"{self.r.choice(METERS)} {self.digits(self.r.choice([6, 7, 8, 9, 10]))}", None))
         if r() < 0.12:
-            out.insert(0, (f"{self.r.choice(['M/S', 'ATTN', 'C/O', 'KIND ATTN:', ''])} {self.r.choice(BRANDS)} {self.r.choice(FIRMS)}".strip(), None))
+            out.insert(0, (f"{self.r.choice(['M/S', 'ATTN', 'C/O', 'C/O', 'KIND ATTN:', ''])} {self.r.choice(BRANDS) if self.r.random() < 0.3 else self.word(3)} {self.r.choice(FIRMS)}".strip(), None))
         if r() < 0.2:
             cue, first = self.r.choice(FURTHER), self.place()
             out.append((f"{cue} {' '.join(first)}", "address"))
@@ -165,7 +193,7 @@ def labelled_rows(n: int = 2000, seed: int = 20_260_923) -> list[tuple[str, list
             text += ("" if not text else " " if cue and kind else sep)
             if kind:
                 spans.append((len(text), len(text) + len(words), kind))
-            cue = kind is None and (words.endswith(":") or words in ("S/O", "W/O", "D/O", "C/O", "ATTN", "MR", "MS", "SHRI", "SMT", "OWNER", "PAN", "EPIC", "UID", "EMAIL", "MAIL", "CALL", "TEL", "PH") or words.split(" ")[-1] in ("OF", "LATE", "NO", "ID", "PROOF", "PASSPORT", "AADHAR"))
+            cue = kind is None and (words.endswith(":") or words in ("S/O", "W/O", "D/O", "D/O.", "S/O.", "C/O", "H/O", "ATTN", "MR", "MR.", "MS", "MRS", "MRS.", "SHRI", "SMT", "DR", "OWNER", "PAN", "EPIC", "UID", "EMAIL", "MAIL", "CALL", "TEL", "PH") or words.split(" ")[-1] in ("OF", "LATE", "NO", "ID", "PROOF", "PASSPORT", "AADHAR"))
             text += words
         if m.r.random() < 0.04:
             text += "######"

@@ -5,7 +5,8 @@ import random
 
 import pytest
 
-from sthalam.llm.pii_crf import KINDS, Crf, model, personal_spans, split_words
+from sthalam.llm import pii_labels as L
+from sthalam.llm.pii_crf import KINDS, Crf, kept_model, model, personal_spans, split_words
 from sthalam.llm.pii_labels import labelled_rows
 from sthalam.llm.truncation import fit_censored, truncated, truncation_report
 
@@ -27,6 +28,43 @@ def test_held_out_accuracy(crf):
         assert hits[k] / (hits[k] + false[k]) > 0.95 and hits[k] / (hits[k] + lost[k]) > 0.93, k
 
 
+#: Names that the labelled table doesn't hold.
+HELD_OUT = [
+    ("S/O Rajesh Kumar Sharma, Flat 12, Sunshine Apartments, MG Road, Pune 411001", "Rajesh Kumar Sharma"), ("Mrs Lakshmi Narayanan, 4th Main, Jayanagar, Bangalore", "Lakshmi Narayanan"),
+    ("H No 22 Gandhi Road, C/O Mohammed Abdul Rahman, Near Temple, Nashik", "Mohammed Abdul Rahman"), ("Smt Anita Desai, B-204 Lotus Towers, Linking Road, Mumbai", "Anita Desai"),
+    ("Shop 4, Station Road, c/o Sunil Gavaskar, Thane", "Sunil Gavaskar"), ("Ms Priya Menon 44 Church Road Kochi", "Priya Menon"),
+]
+
+
+def test_held_out_names(crf):
+    known = set(L.FIRST) | set(L.LAST) | {r + e for r in L.ROOTS for e in (*L.GIVEN_ENDS, *L.SUR_ENDS)}
+    for text, name in HELD_OUT:
+        assert not known & set(name.upper().split())
+        assert [text[a:b] for a, b, k in crf.decode([text])[0] if k == "person"] == [name]
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_no_words_of_the_test_tables(spark, folder):
+    import os
+    import re
+
+    if not os.path.exists(folder):
+        pytest.skip("no test tables here")
+    seen: set[str] = set()
+    for name, columns in {"combo_demog": ["address"], "dotcom_catalogue": ["projectname", "city", "sublocation"], "pincode_locality_merged": ["locality", "city"]}.items():
+        for r in spark.read.parquet(f"{folder}/{name}.parquet").select(*columns).collect():
+            seen.update(re.findall("[A-Z]+", " ".join(x or "" for x in r).upper()))
+    ours = {*L.FIRST, *L.LAST, *L.BRANDS, *L.TITLES, *L.CITIES, *L.STEMS, *(r + e for r in L.ROOTS for e in (*L.GIVEN_ENDS, *L.SUR_ENDS)), *(d.upper() for d in L.DOMAINS)}
+    assert not ours & seen
+
+
+def test_weights_are_kept(spark, crf):
+    kept_model(spark)
+    again = kept_model(spark)
+    texts = [x for x, _ in labelled_rows(50, seed=5)]
+    assert again.decode(texts) == crf.decode(texts)
+
+
 def test_viterbi_is_the_best_path(crf):
     """Against all paths of short rows."""
     import itertools
