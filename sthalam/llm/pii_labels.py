@@ -12,9 +12,9 @@ import random
 
 KINDS = ["person", "email", "phone", "identity", "address"]
 FIRST = (
-    "AARAV ADITYA AJAY AKASH ALOK AMIT AMRITA ANAND ANIL ANJALI ANKIT ANUPAMA APARNA ARJUN ARUN ASHA ASHOK BALAJI BHARAT BHAVNA CHANDAN CHETAN DEEPAK DEEPTI DHRUV DILIP DIVYA FARHAN FATIMA GAURAV GEETA GOVIND HARISH HEMANT IMRAN INDIRA "
-    "ISHAAN JAGDISH JAYA JITENDRA JYOTI KAILASH KAMALA KARAN KAVITA KIRAN KISHORE KRISHNA LALIT LATA MADHAV MANISH MANOJ MEERA MOHAN MUKESH NANDINI NAVEEN NEHA NILESH NIRMALA NITIN OMKAR PANKAJ POOJA PRADEEP PRAKASH PRASAD PRATIMA PREM RADHA "
-    "RAHUL RAJAT RAMESH RANJIT RASHID REKHA ROHAN RUBINA SACHIN SALMA SANDEEP SANJAY SARITA SATISH SEEMA SHANKAR SHEELA SHIVANI SHYAM SMITA SNEHA SUBHASH SUDHA SUJATA SURESH SUSHMA SWATI TANVI TARUN UDAY UMESH VARSHA VASANT VIJAY VIKRAM VINAY VIVEK YASH ZAKIR ZOYA "
+    "AARAV ABBAS ADITYA AHMED AJAY AKASH ALOK AMIT AMRITA ANAND ANIL ANJALI ANKIT ANUPAMA APARNA ARJUN ARUN ASHA ASHOK BALAJI BHARAT BHAVNA CHANDAN CHETAN DEEPAK DEEPTI DHRUV DILIP DIVYA FARHAN FATIMA GAURAV GEETA GOVIND HASAN HARISH HEMANT IMRAN INDIRA "
+    "ISHAAN JAGDISH JAYA JITENDRA JYOTI KAILASH KAMALA KARAN KARIM KAVITA KIRAN KISHORE KRISHNA LALIT LATA MADHAV MANISH MANOJ MEERA MOHAN MUKESH NANDINI NAVEEN NEHA NASIR NILESH NIRMALA NITIN OMKAR PANKAJ POOJA PRADEEP PRAKASH PRASAD PRATIMA PREM RADHA "
+    "RAHUL RAJAT RAMESH RANJIT RASHID REKHA ROHAN RUBINA SACHIN SALMA SANDEEP SANJAY SARITA SATISH SEEMA SHANKAR SHEELA SHIVANI SHYAM SMITA SNEHA SUBHASH SUDHA SUJATA SURESH SUSHMA SWATI TANVI TARUN UDAY UMESH VARSHA VASANT VIJAY VIKRAM VINAY VIVEK YASH YUSUF ZAKIR ZOYA "
     "ALICE ANDREW CAROL DANIEL DAVID EDWARD EMMA GEORGE HELEN JAMES JOHN JOSEPH LAURA MARIA MARTIN MICHAEL NANCY PAUL PETER ROBERT SARAH STEPHEN SUSAN THOMAS WILLIAM"
 ).split()
 LAST = (
@@ -116,7 +116,7 @@ class Maker:
 
     def person(self) -> tuple[str, str]:
         """(words before the name that aren't part of it, name). After a cue a name may be any words, without one it is a name's own spelling that tells."""
-        cue = self.r.choice(["S/O", "W/O", "D/O", "D/O.", "S/O.", "C/O", "C/O", "H/O", "CARE OF", "SON OF", "WIFE OF", "DAUGHTER OF", "ATTN", "KIND ATTN:", "ATTN:", "MR", "MR.", "MS", "MRS", "MRS.", "SHRI", "SMT", "DR", "OWNER", "OWNER:", "KIND ATTN: MS", "ATTN: MR", "", ""])
+        cue = self.r.choice(["S/O", "W/O", "D/O", "D/O.", "S/O.", "C/O", "C/O", "C/O", "H/O", "CARE OF", "SON OF", "WIFE OF", "DAUGHTER OF", "ATTN", "KIND ATTN:", "ATTN:", "MR", "MR.", "MS", "MRS", "MRS.", "SHRI", "SMT", "DR", "OWNER", "OWNER:", "KIND ATTN: MS", "ATTN: MR", "", ""])
         odd = cue and self.r.random() < 0.35
         f, last, i = (self.word(self.r.choice([2, 3, 4])) if odd else self.given()), (self.word(self.r.choice([2, 3])) if odd else self.surname()), self.r.choice("ABCDGHJKLMNPRSTVY")
         name = self.r.choice([f"{f} {last}", f"{f} {last}", f"{last} {f}", f"{f} {i} {last}", f"{f} {i}. {last}", f"{i} {last}" if cue else f"{i} {f} {last}", f"{f} {last}", f"{f} {self.given()} {last}", f"{f} {self.given()} {self.given()} {last}" if self.r.random() < 0.3 else f"{f} {self.given()} {last}", f"{last} {f}"])
