@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
+import re
+from collections import Counter
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from sthalam.session import cut_lineage
 
@@ -17,22 +26,103 @@ CLOSING_SHARE = 0.001
 TRANSFER_PRIOR = 0.03
 #: How far below a limit in bytes a cut text may end, since a letter isn't split.
 BYTE_SLACK = 3
-WORDS = r"(?U)[\p{L}\p{M}]+|\d+(?:[.,/]\d+)*|[.!?।॥…]+|\n"
-STOP = r"^[.!?।॥…]+$"
+WORDS = regex.compile(r"[\p{L}\p{M}]+|\d+(?:[.,/]\d+)*|[.!?।॥…]+|\n")
+_ASCII_WORDS = re.compile(r"[A-Za-z]+|[0-9]+(?:[.,/][0-9]+)*|[.!?]+|\n")  # the same for a text of ASCII letters
+STOPS = set(".!?।॥…")
+_HIDDEN, _LINES, _BLANKS, _EDGES = regex.compile("[​‌‍﻿­]"), regex.compile("\r\n?"), regex.compile("[\t  -  　 ]+"), regex.compile(" *\n[ \n]*")
+_X, _NAME, _FIGURES, _ENDFIGURES, _FULL = regex.compile(r"\bX\b"), regex.compile(r"\p{Lu}[\p{L}\p{M}]+"), regex.compile(r"\d+"), regex.compile(r"\d*$"), regex.compile(r"[.!?।॥…][\"'”’)\]]*$")
+#: Word groups that a worker counts before it hands the counts on, and words whose masked forms it keeps.
+GROUPS, KEPT = 200_000, 300_000
 
 
-def smooth(text: Column) -> Column:
+def smooth(text: str) -> str:
     """One kind of blank and line end, nothing invisible, no outer blanks."""
-    x = F.regexp_replace(text, "[​‌‍﻿­]", "")
-    x = F.regexp_replace(x, "\r\n?", "\n")
-    x = F.regexp_replace(x, "[\\t  -  　 ]+", " ")
-    return F.regexp_replace(F.regexp_replace(x, " *\n[ \n]*", "\n"), "^[ \n]+|[ \n]+$", "")
+    x = text
+    plain = x.isascii()
+    if not plain:
+        x = _HIDDEN.sub("", x)
+    if "\r" in x:
+        x = _LINES.sub("\n", x)
+    if not plain or "  " in x or "\t" in x:
+        x = _BLANKS.sub(" ", x)
+    if "\n" in x:
+        x = _EDGES.sub("\n", x)
+    return x.strip(" \n")
 
 
-def _masked(words: Column) -> Column:
-    """Figures by their shape, capitalised words as X, others in small letters."""
-    one = lambda w: F.when(w.rlike(r"^\d"), F.regexp_replace(w, r"\d+", "0")).when(w.rlike(r"^\p{Lu}"), F.lit("X")).when(w.rlike(STOP), F.lit(".")).otherwise(w)
-    return F.transform(words, one)
+def words_of(text: str) -> list[str]:
+    return (_ASCII_WORDS if text.isascii() else WORDS).findall(text)
+
+
+class _Masks(dict):
+    """Figures by their shape, capitalised words as X, stops as one, others in their letters."""
+
+    def __missing__(self, w: str) -> str:
+        if len(self) > KEPT:
+            self.clear()
+        x = self[w] = "." if w[0] in STOPS else _FIGURES.sub("0", w) if w[0].isdecimal() else "X" if w[0].isupper() else w
+        return x
+
+
+def _ending(text: str, w: list[str]) -> tuple:
+    """(form of the last line, length of its last figures, mark, has_stop, a, b, c, figure, stopped) of a smoothed text with the masked words w."""
+    more = "\n" in text
+    last = text.rsplit("\n", 1)[-1]
+    form = None
+    if more:
+        named = _NAME.sub("X", last)
+        form = _FIGURES.sub("0", named if len(_X.findall(named)) >= 3 else last)
+    stop = w[-1] == "."
+    core = ["^", "^", "^", *(w[-4:-1] if stop else w[-3:])]
+    full = bool(_FULL.search(text[-200:]))
+    return form, len(_ENDFIGURES.search(last)[0]), hashlib.md5(text.encode()).digest(), stop, *core[-3:], full and text[-1] == "." and text[-2:-1].isdecimal(), full
+
+
+ENDING = "form string, figures int, mark binary, has_stop boolean, a string, b string, c string, figure boolean, stopped boolean"
+
+
+def read_texts(documents: DataFrame) -> DataFrame:
+    """One pass over `documents` (k, named, text), with two sorts of rows: `n` null: a text (k, named, chars, bytes and its ENDING, null without words);
+    else how often the words a, b, c were followed by more of the text (n), and by a full stop or line end (stop), in some of the texts.
+
+    The groups are counted before they leave the worker, GROUPS at a time.
+    """
+    schema = f"k {documents.schema['k'].dataType.simpleString()}, named string, chars bigint, bytes bigint, {ENDING}, n bigint, stop bigint"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def batch(columns: dict[str, list], n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in arrow], schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        masks, counts = _Masks(), Counter()
+
+        def counted() -> pa.RecordBatch:
+            both: dict[tuple, list[int]] = {}
+            for (a, b, c, stop), n in counts.items():
+                if c not in (".", "\n"):
+                    x = both.setdefault((a, b, c), [0, 0])
+                    x[0] += n
+                    x[1] += n * stop
+            counts.clear()
+            return batch({**{x: [g[i] for g in both] for i, x in enumerate("abc")}, "n": [x[0] for x in both.values()], "stop": [x[1] for x in both.values()]}, len(both))
+
+        for t in batches:
+            rows = []
+            for text in t.column("text").to_pylist():
+                text = text or ""
+                even = smooth(text)
+                w = [masks[x] for x in words_of(even)]
+                rows.append((len(text), len(text.encode()), *(_ending(even, w) if w else (None,) * 9)))
+                if len(w) > 1:
+                    counts.update(zip(["^", "^", *w], ["^", *w], w, [x in (".", "\n") for x in w[1:]], strict=False))
+                if len(counts) > GROUPS:
+                    yield counted()
+            names = ["chars", "bytes", *(x.split()[0] for x in ENDING.split(", "))]
+            made = dict(zip(names, zip(*rows, strict=True), strict=True)) if rows else {}
+            yield batch({"k": t.column("k"), "named": t.column("named"), **{k: list(v) for k, v in made.items()}}, t.num_rows)
+        yield counted()
+
+    return documents.mapInArrow(run, schema)
 
 
 def candidate_limits(lengths: DataFrame) -> DataFrame:
@@ -41,7 +131,7 @@ def candidate_limits(lengths: DataFrame) -> DataFrame:
     # the neighbourhood: a tenth of the length to either side, but for the length itself
     near = Window.partitionBy("source", "unit").orderBy("length").rangeBetween(-40, 40)
     x = lengths.withColumn("total", F.sum("n").over(total)).withColumn("around", (F.sum("n").over(near) - F.col("n")) / 80.0)
-    x = x.where((F.col("length") > 20) & (F.col("n") >= 5) & (F.col("n") >= LIMIT_SHARE * F.col("total")) & (F.col("n") >= LIMIT_EXCESS * (F.col("around") + 1)))
+    x = x.where((F.col("n") >= LIMIT_SHARE * F.col("total")) & (F.col("n") >= LIMIT_EXCESS * (F.col("around") + 1)))
     return x.select("source", "unit", F.col("length").alias("at"), "n", "total", "around")
 
 
@@ -71,38 +161,39 @@ def fit_censored(n: float, total: float, squares: float, censored: list[tuple[fl
 
 
 def censoring(docs: DataFrame) -> DataFrame:
-    """(source, unit, at, posterior): for each candidate limit the probability that a text that ends there was cut by it.
+    """(source, unit, at, posterior, mu, sigma): for each candidate limit the probability that a text that ends there was cut by it.
 
-    The lengths' logarithms of a source and unit are taken as normal. Texts at a limit count as censored; the fitted curve tells how many would have
-    that length of themselves, the rest of those there were cut. The driver gets a row for each source and limit: a limit holds
-    LIMIT_SHARE of its source at least, so at most 1 / LIMIT_SHARE for each source and unit. Copies of a text count once, so that a text
-    delivered over and over doesn't make its own length a limit.
+    `docs` has (source, chars, bytes, mark). The lengths' logarithms of a source and unit are taken as normal. Texts at a limit count as censored; the fitted
+    curve tells how many would have that length of themselves, the rest of those there were cut. Each source and unit is fitted by a worker, from its sums and its
+    limits (a limit holds LIMIT_SHARE of its source at least, so there are at most 1 / LIMIT_SHARE), so any number of sources will do. Copies of a text count
+    once, so that a text delivered over and over doesn't make its own length a limit.
     """
-    spark = docs.sparkSession
-    docs = docs.select("source", "chars", "bytes", F.md5("text")).distinct()
+    docs = docs.select("source", "chars", "bytes", "mark").distinct()
     lengths = docs.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("length")))).alias("x")).select("source", "x.unit", "x.length")
     lengths = cut_lineage(lengths.where("length > 0").groupBy("source", "unit", "length").agg(F.count("*").alias("n")))
     limits = cut_lineage(candidate_limits(lengths))
     log = F.log("length")
     free = lengths.join(limits.select("source", "unit", F.col("at").alias("length"), F.lit(True).alias("held")), ["source", "unit", "length"], "left").where("held IS NULL")
-    sums = free.join(limits.select("source", "unit").distinct(), ["source", "unit"], "left_semi").groupBy("source", "unit").agg(F.sum("n").alias("n"), F.sum(F.col("n") * log).alias("s"), F.sum(F.col("n") * log * log).alias("q"))
-    at: dict[tuple, list] = {}
-    for r in limits.collect():
-        at.setdefault((r["source"], r["unit"]), []).append(r)
-    stats = {(r["source"], r["unit"]): r for r in sums.collect()}
-    out = []
-    for key, found in at.items():
-        r = stats.get(key)
-        if r is None:
-            mu, sd = math.log(found[0]["at"]), 1.0
-        else:
-            mu, sd = fit_censored(r["n"], r["s"], r["q"], [(math.log(x["at"]), x["n"]) for x in found])
-        for x in found:
-            z = (math.log(x["at"]) - mu) / sd
-            natural = x["total"] * math.exp(-z * z / 2) / (sd * math.sqrt(2 * math.pi) * x["at"])
-            cut = 1 - min(0.95, max(natural, float(x["around"])) / x["n"])
-            out.append((*key, x["at"], float(min(0.995, max(0.05, cut))), mu, sd))
-    return spark.createDataFrame(out, "source string, unit string, at bigint, posterior double, mu double, sigma double")
+    sums = free.join(limits.select("source", "unit").distinct(), ["source", "unit"], "left_semi").groupBy("source", "unit").agg(F.sum("n").alias("seen"), F.sum(F.col("n") * log).alias("s"), F.sum(F.col("n") * log * log).alias("q"))
+    found = limits.groupBy("source", "unit").agg(F.collect_list(F.struct("at", "n", "total", "around")).alias("limits")).join(sums, ["source", "unit"], "left")
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for t in batches:
+            out = []
+            for r in t.itertuples():
+                at = sorted(r.limits, key=lambda x: x["at"])
+                if r.seen is None or r.seen != r.seen:
+                    mu, sd = math.log(at[0]["at"]), 1.0
+                else:
+                    mu, sd = fit_censored(r.seen, r.s, r.q, [(math.log(x["at"]), x["n"]) for x in at])
+                for x in at:
+                    z = (math.log(x["at"]) - mu) / sd
+                    natural = x["total"] * math.exp(-z * z / 2) / (sd * math.sqrt(2 * math.pi) * x["at"])
+                    cut = 1 - min(0.95, max(natural, float(x["around"])) / x["n"])
+                    out.append((r.source, r.unit, x["at"], float(min(0.995, max(0.05, cut))), mu, sd))
+            yield pd.DataFrame(out, columns=["source", "unit", "at", "posterior", "mu", "sigma"])
+
+    return found.mapInPandas(fit, "source string, unit string, at bigint, posterior double, mu double, sigma double")
 
 
 def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -116,44 +207,33 @@ def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
     truncated where prior and evidence together favour it. Null, empty and blank texts aren't truncated; a null source is a source of its own;
     repeated rows come out as often as they go in; other columns aren't read. Whole texts are read and all documents counted.
     """
-    d = documents.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{source}`"), F.lit("")).alias("source"), F.col(f"`{source}`").alias("named"), F.col(f"`{text}`").alias("text"))
-    d = d.withColumn("chars", F.coalesce(F.length("text"), F.lit(0)).cast("bigint")).withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"))
-    words = d.withColumn("even", smooth(F.col("text"))).withColumn("w", _masked(F.regexp_extract_all("even", F.lit(WORDS), F.lit(0))))
+    d = documents.select(F.col(f"`{key}`").alias("k"), F.col(f"`{source}`").alias("named"), F.col(f"`{text}`").alias("text"))
+    read = cut_lineage(read_texts(d))
+    texts = read.where("n IS NULL").drop("n", "stop").withColumn("source", F.coalesce("named", F.lit("")))
 
     # what follows each three words, over all texts; shorter contexts are summed from these counts
-    row = lambda k: F.slice(F.concat(F.array(F.lit("^"), F.lit("^")), F.col("w"), F.array(F.lit("$"))), F.lit(k), F.size("w") + 3)
-    runs = words.where(F.size("w") > 0).select(F.inline(F.arrays_zip(row(1).alias("a"), row(2).alias("b"), row(3).alias("c"), row(4).alias("next"))))
-    kind = F.when(F.col("next").isin(".", "\n"), 1).otherwise(0)
-    counts = runs.where("c IS NOT NULL AND c <> '$' AND c <> '.' AND c <> '\n' AND next IS NOT NULL AND next <> '$'").groupBy("a", "b", "c").agg(F.count("*").alias("n"), F.sum(kind).alias("stop"))
-    three = cut_lineage(counts)
+    three = cut_lineage(read.where("n IS NOT NULL").groupBy("a", "b", "c").agg(F.sum("n").alias("n"), F.sum("stop").alias("stop")))
     two = three.groupBy("b", "c").agg(F.sum("n").alias("n2"), F.sum("stop").alias("stop2"))
     one = three.groupBy("c").agg(F.sum("n").alias("n1"), F.sum("stop").alias("stop1"))
 
-    # the end of each text
-    last = F.substring_index("even", "\n", -1)
-    names = F.regexp_replace(last, r"\p{Lu}[\p{L}\p{M}]+", "X")
-    form = F.when(F.size(F.regexp_extract_all(names, F.lit(r"\bX\b"), F.lit(0))) >= 3, names).otherwise(last)
-    more = F.col("even").contains("\n")
-    w = F.col("w")
-    has_stop = F.element_at(w, -1) == "."
-    core = F.when(has_stop, F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0)))).otherwise(w)
-    core = F.concat(F.array(F.lit("^"), F.lit("^"), F.lit("^")), core)
-    ends = words.where(F.size("w") > 0).select("k", "source", "named", "chars", "bytes", F.when(more, F.regexp_replace(form, r"\d+", "0")).alias("form"), F.length(F.regexp_extract(last, r"\d*$", 0)).alias("figures"), F.md5("even").alias("mark"), has_stop.alias("has_stop"), *(F.element_at(core, -i).alias(c) for c, i in (("a", 3), ("b", 2), ("c", 1))), F.col("even").rlike(r"\d\.$").alias("figure"), F.col("even").rlike(r"[.!?।॥…][\"'”’)\]]*$").alias("stopped"))
-    ends = cut_lineage(ends)
-    limits = censoring(d.where("chars > 0"))
-    near = limits.select(F.col("source").alias("l_source"), "unit", "at", "posterior")
-    fits = F.when(F.col("unit") == "chars", F.col("chars") == F.col("at")).otherwise(F.col("bytes").between(F.col("at") - BYTE_SLACK, F.col("at")))
-    # limits: at most 100 for each source and unit, lengths of a source first reduced to the distinct ones
-    sizes = ends.select("source", "chars", "bytes").distinct()
-    hit = sizes.join(F.broadcast(near), (F.col("source") == F.col("l_source")) & fits).groupBy("source", "chars", "bytes").agg(F.max(F.struct("posterior", "at", "unit")).alias("hit")).select("source", "chars", "bytes", F.col("hit.at").alias("at_limit"), F.col("hit.posterior").alias("p_limit"))
+    # the limit at which a text ends: equal lengths in characters, or in bytes up to BYTE_SLACK below; lengths first reduced to the distinct ones
+    ends = texts.where("mark IS NOT NULL")
+    limits = cut_lineage(censoring(texts.where("chars > 0").withColumn("mark", F.coalesce("mark", F.lit("").cast("binary")))))
+    slack = F.when(F.col("unit") == "bytes", F.sequence(F.col("at") - BYTE_SLACK, F.col("at"))).otherwise(F.array("at"))
+    near = limits.select("source", "unit", F.explode(slack).alias("length"), F.struct("posterior", "at", "unit").alias("hit"))
+    by = lambda unit: near.where(F.col("unit") == unit).groupBy("source", F.col("length").alias(unit)).agg(F.max("hit").alias(f"hit_{unit}"))
+    sizes = ends.select("source", "chars", "bytes").distinct().join(by("chars"), ["source", "chars"], "left").join(by("bytes"), ["source", "bytes"], "left")
+    hit = sizes.withColumn("hit", F.greatest("hit_chars", "hit_bytes")).where("hit IS NOT NULL").select("source", "chars", "bytes", F.col("hit.at").alias("at_limit"), F.col("hit.posterior").alias("p_limit"))
 
     e = cut_lineage(ends.join(hit, ["source", "chars", "bytes"], "left"))
     # the ways to close a text, by the length of the figures at their end
     total = e.select("mark").distinct().count()
     lines = e.where("form IS NOT NULL AND at_limit IS NULL").select("form", "figures", "mark").distinct().groupBy("form", "figures").agg(F.count("*").alias("times"))
     closing = lines.groupBy("form").agg(F.sum("times").alias("times"), F.collect_list(F.struct("figures", "times")).alias("closing")).where(F.col("times") >= max(3, CLOSING_SHARE * total)).drop("times")
-    e = e.join(closing, "form", "left")
-    e = e.join(three, ["a", "b", "c"], "left").join(two, ["b", "c"], "left").join(one, ["c"], "left")
+    # rows without a closing line are spread by their mark, so that they aren't one key
+    e = e.withColumn("form", F.coalesce("form", F.concat(F.lit("\n"), F.hex("mark")))).join(closing, "form", "left")
+    last = e.select("a", "b", "c").distinct().join(three, ["a", "b", "c"], "left").join(two, ["b", "c"], "left").join(one, ["c"], "left")
+    e = e.join(cut_lineage(last), ["a", "b", "c"], "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     ratio = lambda s, n: (z(s) + 0.02) / (z(n) + 1.0)
     p_stop = F.when(z("n") >= 3, ratio("stop", "n")).when(z("n2") >= 3, ratio("stop2", "n2")).when(z("n1") >= 3, F.least(ratio("stop1", "n1"), F.lit(0.3))).otherwise(F.lit(0.02))
@@ -169,7 +249,7 @@ def truncated(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
     evidence = F.coalesce(whole, odds(F.col("p_stop")) + 2.0)
     e = e.withColumn("score", F.log(prior / (1 - prior)) + evidence)
     rows = e.select(F.col("k").alias(key), F.col("named").alias("source"), F.col("chars").alias("length"), "at_limit", "p_limit", "p_stop", F.col("closed").alias("closing"), "score", (F.col("score") > 0).alias("truncated"))
-    none = words.where((F.size("w") <= 0) | F.col("w").isNull()).select(F.col("k").alias(key), F.col("named").alias("source"), F.col("chars").alias("length"))
+    none = texts.where("mark IS NULL").select(F.col("k").alias(key), F.col("named").alias("source"), F.col("chars").alias("length"))
     return rows.unionByName(none.withColumn("closing", F.lit(False)).withColumn("truncated", F.lit(False)), allowMissingColumns=True)
 
 
