@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sthalam.session import cut_lineage
 
 #: Least Jaccard similarity of two values' token sets: one changed, lost, added or exchanged letter in a stem of five or more.
-SIMILARITY = 0.4
+SIMILARITY = 0.3
 #: Short forms of the words that end a locality's name (fixed values), and those words.
 SHORT = {"lyt": "layout", "clny": "colony", "ngr": "nagar", "pm": "puram", "extn": "extension", "ext": "extension", "gdns": "gardens", "gdn": "gardens", "garden": "gardens"}
 KINDS = ["nagar", "gardens", "halli", "pete", "layout", "vihar", "extension", "wadi", "colony", "puram"]
@@ -29,8 +29,8 @@ def locality_text(c: Column) -> Column:
     x = F.regexp_replace(x, r"^(off|near|nr|opp|opposite|behind|beside|at|by)\s+", "")
     x = F.regexp_replace(x, r"\s+(stage|phase|sector|block)\s+\w+$", "")
     x = F.regexp_replace(x, r"\s+(east|west|north|south|main|cross)$", "")
-    for short, full in SHORT.items():
-        x = F.regexp_replace(x, rf"\b{short}\b", full)
+    short = F.create_map(*(F.lit(x) for kv in SHORT.items() for x in kv))
+    x = F.array_join(F.transform(F.split(x, " "), lambda w: F.coalesce(F.element_at(short, w), w)), " ")
     return F.when(x.isin(PLACEHOLDERS), None).otherwise(x)
 
 
@@ -44,22 +44,18 @@ def compact(c: Column) -> Column:
     return F.regexp_replace(c, " ", "")
 
 
-def kind_of(c: Column) -> Column:
-    """The word for a kind of locality at the end of a value, blank or no blank before it; empty if there is none."""
-    return F.regexp_extract(compact(c), rf"^.{{2,}}?({'|'.join(KINDS)})$", 1)
-
-
-def stem_of(c: Column) -> Column:
-    x = compact(c)
-    k = kind_of(c)
-    return F.substring(x, F.lit(1), F.length(x) - F.length(k))
+#: The word for a kind of locality at the end of a value, blank or no blank before it.
+KIND_END = rf"^.{{2,}}?({'|'.join(KINDS)})$"
 
 
 def name_tokens(stem: Column, kind: Column) -> Column:
-    """The letter pairs of the stem, with marks at both ends, numbered where one occurs again, and its kind as a token."""
-    padded = F.concat(F.lit("^"), stem, F.lit("$"))
-    pairs = F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2)))
-    return F.array_distinct(F.concat(pairs, F.when(kind != "", F.array(F.concat(F.lit("kind:"), kind))).otherwise(F.array().cast("array<string>"))))
+    """The runs of three letters of the stem, with marks at both ends, and its kind as a token.
+
+    Threes are rare enough to tell values apart: the words of a prefix hold some ten thousand different ones, against several hundred pairs.
+    """
+    padded = F.concat(F.lit("^^"), stem, F.lit("$$"))
+    threes = F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3)))
+    return F.array_distinct(F.concat(threes, F.when(kind != "", F.array(F.concat(F.lit("kind:"), kind))).otherwise(F.array().cast("array<string>"))))
 
 
 def similar_values(left: DataFrame, right: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -74,7 +70,6 @@ def similar_values(left: DataFrame, right: DataFrame, similarity: float = SIMILA
     """
     sides = left.select(F.lit(0).alias("side"), F.col("id"), "tokens").unionByName(right.select(F.lit(1).alias("side"), F.col("id"), "tokens"))
     sides = sides.where(F.size("tokens") > 0).dropDuplicates(["side", "id"])
-    sides = cut_lineage(sides)
     each = sides.select("side", "id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     rarity = each.groupBy("token").agg(F.count("*").alias("often"))
     ranked = each.join(rarity, "token").groupBy("side", "id", "n").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("order"))
@@ -119,28 +114,31 @@ def map_localities(records: DataFrame, localities: DataFrame) -> DataFrame:
     cities = listed.where("l_city IS NOT NULL").select(F.col("l_city").alias("id")).distinct()
 
     pins = F.filter(F.split(F.concat_ws(";", "pincode", "all_pincodes"), r"\s*;\s*"), lambda p: p != "")
-    r = records.where("sublocation IS NOT NULL").select("rec_id", locality_text(F.col("sublocation")).alias("name"), city_text(F.col("city")).alias("typed"), F.array_distinct(pins).alias("r_pins"), compact(plain(F.col("projectname"))).alias("project"))
+    r = records.where("sublocation IS NOT NULL").select("rec_id", "sublocation", "city", F.array_distinct(pins).alias("r_pins"), compact(plain(F.col("projectname"))).alias("project"))
 
-    # cities: each distinct spelling once
-    spelt = r.where("typed IS NOT NULL").select(F.col("typed").alias("id")).distinct()
+    # each typed spelling is cleaned once, however many records have it
+    spelt = cut_lineage(r.where("city IS NOT NULL").select("city").distinct().select("city", city_text(F.col("city")).alias("typed")).where("typed IS NOT NULL"))
     bag = lambda d: d.select("id", name_tokens(compact(F.col("id")), F.lit("")).alias("tokens"))
-    near = similar_values(bag(spelt), bag(cities), 0.3).where(one_slip(compact(F.col("left_id")), compact(F.col("right_id"))))
-    city_of = cut_lineage(near.groupBy("left_id").agg(F.max_by("right_id", F.struct("jaccard", "right_id")).alias("r_city")).withColumnRenamed("left_id", "typed"))
-
-    # localities: each distinct stem and kind once
-    split = lambda d: d.withColumn("kind", kind_of(F.col("name"))).withColumn("stem", stem_of(F.col("name"))).withColumn("form", F.concat_ws("|", "stem", "kind"))
-    r, listed = split(r), split(listed)
-    forms = lambda d: d.where("stem <> ''").select(F.col("form").alias("id"), name_tokens(F.col("stem"), F.col("kind")).alias("tokens")).distinct()
-    alike = similar_values(forms(r), forms(listed))
+    near = similar_values(bag(spelt.select(F.col("typed").alias("id")).distinct()), bag(cities), 0.2).where(one_slip(compact(F.col("left_id")), compact(F.col("right_id"))))
+    city_of = near.groupBy("left_id").agg(F.max_by("right_id", F.struct("jaccard", "right_id")).alias("r_city")).withColumnRenamed("left_id", "typed")
+    city_of = cut_lineage(spelt.join(city_of, "typed").select("city", "r_city"))
+
+    # localities: each distinct stem and kind once; what is worked out of a name is kept, since later steps would work it out again
+    named = cut_lineage(r.select("sublocation").distinct().select("sublocation", locality_text(F.col("sublocation")).alias("name")).where("name IS NOT NULL"))
+    split = lambda d: d.withColumn("squeezed", compact(F.col("name"))).withColumn("kind", F.regexp_extract("squeezed", KIND_END, 1))
+    whole = lambda d: cut_lineage(split(d).withColumn("stem", F.expr("substring(squeezed, 1, length(squeezed) - length(kind))")).withColumn("form", F.concat_ws("|", "stem", "kind")))
+    named, listed = whole(named), whole(listed)
+    r = r.join(named.select("sublocation", "form"), "sublocation", "left")
+    forms = lambda d: d.where("stem <> ''").select(F.col("form").alias("id"), "stem", "kind").distinct().select("id", name_tokens(F.col("stem"), F.col("kind")).alias("tokens"))
+    alike = similar_values(forms(named), forms(listed))
     part = lambda c, k: F.substring_index(c, "|", k)
     alike = alike.where(one_slip(part(F.col("left_id"), 1), part(F.col("right_id"), 1)))
     kind_a, kind_b = part(F.col("left_id"), -1), part(F.col("right_id"), -1)
     alike = cut_lineage(alike.where((kind_a == "") | (kind_b == "") | (kind_a == kind_b)))
 
     choice = alike.withColumnRenamed("left_id", "form").join(listed.select(F.col("form").alias("right_id"), "locality_id", "l_city", "pins"), "right_id").drop("right_id")
-    r = r.join(city_of, "typed", "left")
-    area = F.substring(F.get("r_pins", F.lit(0)), 1, 3)
-    r = r.withColumn("area", area).join(F.broadcast(by_pin), "area", "left")
+    r = r.join(city_of, "city", "left")
+    r = cut_lineage(r.withColumn("area", F.substring(F.get("r_pins", F.lit(0)), 1, 3)).join(F.broadcast(by_pin), "area", "left"))
     known = r.where("r_city IS NOT NULL").groupBy("project", "form").agg(F.max("r_city").alias("elsewhere"), F.countDistinct("r_city").alias("towns")).where("towns = 1").drop("towns")
     r = r.join(known, ["project", "form"], "left")
     c = r.join(choice, "form", "left")
