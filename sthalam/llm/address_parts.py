@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from sthalam.llm.canonical import KINDS, SHORT, city_text, locality_text
 from sthalam.session import cut_lineage
@@ -378,12 +380,13 @@ def gazetteer(localities: DataFrame, catalogue: DataFrame) -> Gazetteer:
 def address_parts(rows: DataFrame, g: Gazetteer, *, key: str = "row_id", address: str = "address", zip_code: str = "zip") -> DataFrame:
     """(`key`, the PARTS) of every row, each address once where it is read; other columns aren't read."""
     kind = rows.schema[key].dataType.simpleString()
+    schema = f"`{key}` {kind}, " + ", ".join(f"{p} string" for p in PARTS)
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            parts = [take_apart(a, z, g) for a, z in zip(t["a"], t["z"], strict=True)]
-            made = pd.DataFrame(parts, columns=list(PARTS), dtype=object)
-            made.insert(0, key, t["k"].to_numpy())
-            yield made
+            parts = [take_apart(a, z, g) for a, z in zip(t.column("a").to_pylist(), t.column("z").to_pylist(), strict=True)]
+            columns = zip(*map(dict.values, parts), strict=True) if parts else [[]] * len(PARTS)
+            yield pa.RecordBatch.from_arrays([t.column("k"), *(pa.array(c, pa.string()) for c in columns)], schema=arrow)
 
-    return rows.select(F.col(f"`{key}`").alias("k"), F.col(f"`{address}`").alias("a"), F.col(f"`{zip_code}`").cast("string").alias("z")).mapInPandas(run, f"`{key}` {kind}, " + ", ".join(f"{p} string" for p in PARTS))
+    return rows.select(F.col(f"`{key}`").alias("k"), F.col(f"`{address}`").alias("a"), F.col(f"`{zip_code}`").cast("string").alias("z")).mapInArrow(run, schema)
