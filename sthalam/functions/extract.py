@@ -15,14 +15,31 @@ def _first(norm: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(norm, pattern, 1), F.lit(""))
 
 
-def _longest(norm: Column, pattern: str) -> Column:
-    hits = F.regexp_extract_all(norm, F.lit(pattern), F.lit(1))
-    best = F.aggregate(hits, F.lit(""), lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a))
+def _among(words: list[str]) -> Column:
+    return F.array(*(F.lit(w) for w in words))
+
+
+def longest_of(found: Column) -> Column:
+    """The longest of some texts, of equals the first; null for none."""
+    best = F.aggregate(found, F.lit(""), lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a))
     return F.nullif(best, F.lit(""))
 
 
+def phrases_ending(norm: Column, ends: list[str], least: int, most: int) -> Column:
+    """For each word of `ends` the phrase of it and the `least` to `most` plain words straight before it; a plain word begins with a letter and has two signs or more."""
+    w = T.tokens(norm)
+    at = F.filter(F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1))), lambda i: F.array_contains(_among(ends), F.get(w, i - 1)))
+
+    def phrase(i: Column) -> Column:
+        lead = F.slice(w, F.greatest(i - most, F.lit(1)), F.least(i - 1, F.lit(most)))
+        bad = F.coalesce(F.array_max(F.transform(lead, lambda x, k: F.when(x.rlike(f"^{WORD}$"), 0).otherwise(k + 1))), F.lit(0))
+        return F.concat(F.slice(lead, bad + 1, F.size(lead)), F.slice(w, i, F.lit(1)))
+
+    return F.transform(F.filter(F.transform(at, phrase), lambda x: F.size(x) > least), lambda x: F.array_join(x, " "))
+
+
 def _unless(name: Column, words: list[str]) -> Column:
-    return F.when(~F.arrays_overlap(T.tokens(name), F.array(*(F.lit(w) for w in words))), name)
+    return F.when(~F.arrays_overlap(T.tokens(name), _among(words)), name)
 
 
 def same_place(name: Column, locality: Column) -> Column:
@@ -41,7 +58,7 @@ def trimmed_building(name: Column) -> Column:
 
 def compound_building(norm: Column) -> Column:
     """The longest single word that ends in VILLA, NILAYA and the like."""
-    return _longest(norm, r"(?:^| )([A-Z][A-Z0-9]+(?:VILLAS?|NILAYA|NIVAS|HEIGHTS|TOWERS|APPT|NESTS?))(?= |$)")
+    return longest_of(F.filter(T.tokens(norm), lambda x: x.rlike(f"^{WORD}(?:{'|'.join(W.COMPOUND_ENDS)})$")))
 
 
 def layout_building(norm: Column) -> Column:
@@ -70,41 +87,85 @@ def residence(norm: Column) -> Column:
 
 
 def society(norm: Column, locality: Column) -> Column:
-    """The longest colony, nagar or garden of up to four words that isn't the locality."""
-    hit = _longest(norm, rf"(?:^| )((?:{WORD} ){{1,4}}(?:NAGAR|COLONY|GARDENS?|PURAM|PURA|HALLI|PET|PALYA))(?= |$)")
-    return F.when(~same_place(hit, locality), _unless(hit, W.BUILDING_STOP))
+    """The longest colony, nagar or garden of up to four words before its ending that isn't the locality."""
+    hit = longest_of(F.filter(phrases_ending(norm, W.SOCIETY_ENDS, 1, 4), lambda x: ~F.arrays_overlap(T.tokens(x), _among(W.BUILDING_STOP))))
+    return F.when(~same_place(hit, locality), hit)
 
 
 def single_area(norm: Column) -> Column:
-    """The longest single word that ends like an area, else a two-word layout."""
-    return F.coalesce(_longest(norm, r"(?:^| )([A-Z][A-Z0-9]{4,20}(?:PURAM|PURA|HALLI|LAYOUT|COLONY|GARDEN|NAGAR|ENCLAVE|ESTATE|TOWNSHIP))(?= |$)"), _longest(norm, r"(?:^| )([A-Z]{2,10} LAYOUT)(?= |$)"))
+    """The longest single word, of five letters to twenty before its ending, that ends like an area, else a two-word layout."""
+    one = longest_of(F.filter(T.tokens(norm), lambda x: x.rlike(f"^[A-Z][A-Z0-9]{{4,20}}(?:{'|'.join(W.SINGLE_AREA_ENDS)})$")))
+    return F.coalesce(one, longest_of(F.filter(phrases_ending(norm, ["LAYOUT"], 1, 1), lambda x: x.rlike("^[A-Z]{2,10} "))))
 
 
 def enclave(norm: Column, locality: Column) -> Column:
-    hit = _first(norm, rf"((?:{WORD} ){{1,3}}(?:ENCLAVE|ESTATE|TOWNSHIP))(?: |$)")
+    """The first enclave, estate or township with up to three words before it that isn't the locality."""
+    hit = F.get(phrases_ending(norm, W.ENCLAVE_ENDS, 1, 3), F.lit(0))
     return F.when(~same_place(hit, locality), hit)
 
 
 def before_floor(norm: Column, locality: Column) -> Column:
-    """The words before GROUND FLOOR or 2ND FLOOR."""
-    hit = _unless(_first(norm, rf"((?:{WORD} ){{1,3}}{WORD}) (?:GROUND|[0-9]+(?:ST|ND|RD|TH)) FLOOR"), W.BUILDING_STOP)
-    return F.when(~same_place(hit, locality), hit)
+    """The two to six words before GROUND FLOOR or 2ND FLOOR, the first such phrase that has no street word, isn't the locality and
+    ends like a building or has a word of five letters."""
+    w = T.tokens(norm)
+    at = F.filter(F.sequence(F.lit(2), F.greatest(F.size(w), F.lit(2))), lambda i: (F.get(w, i - 1) == "FLOOR") & F.coalesce(F.get(w, i - 2).rlike("^(?:GROUND|[0-9]+(?:ST|ND|RD|TH))$"), F.lit(False)))
+
+    def phrase(i: Column) -> Column:
+        lead = F.slice(w, F.greatest(i - 7, F.lit(1)), F.least(i - 2, F.lit(6)))
+        bad = F.coalesce(F.array_max(F.transform(lead, lambda x, k: F.when(x.rlike(f"^{WORD}$"), 0).otherwise(k + 1))), F.lit(0))
+        return F.slice(lead, bad + 1, F.size(lead))
+
+    good = lambda x: (F.size(x) >= 2) & ~F.arrays_overlap(x, _among(W.BUILDING_STOP)) & ~F.coalesce(F.array_join(x, "") == T.compact(locality), F.lit(False)) & (F.array_join(x, " ").rlike(rf"(?:^| )(?:{W.BUILDING_SUFFIX})$") | F.exists(x, lambda y: F.length(y) >= 5))
+    hit = F.get(F.filter(F.transform(at, phrase), good), F.lit(0))
+    return F.array_join(hit, " ")
+
+
+def after_unit(norm: Column) -> Column:
+    """The last name of two to seven plain words after a unit and its number that has no street word and ends like a building or has five words at most."""
+    w = T.tokens(norm)
+    units = _among(["FLAT", "FLATNO", "HOUSE", "HNO", "NO", "APT", "APARTMENT", "UNIT", "ROOM", "OFFICE", "PLOT"])
+    at = F.filter(F.sequence(F.lit(2), F.greatest(F.size(w), F.lit(2))), lambda i: F.array_contains(units, F.get(w, i - 2)) & F.coalesce(F.get(w, i - 1).rlike("[0-9]"), F.lit(False)))
+
+    def phrase(i: Column) -> Column:
+        follow = F.slice(w, i + 1, F.lit(7))
+        bad = F.array_min(F.filter(F.transform(follow, lambda x, k: F.when(x.rlike(f"^{WORD}$"), -1).otherwise(k)), lambda k: k >= 0))
+        return F.slice(follow, F.lit(1), F.coalesce(bad, F.size(follow)))
+
+    streets = _among([*W.STREET_TOKENS, *W.BUILDING_STOP])
+    ends = lambda x: F.array_join(x, " ").rlike(rf"(?:^| )(?:{W.BUILDING_SUFFIX})$")
+    good = lambda x: (F.size(x) >= 2) & ~F.arrays_overlap(x, streets) & (ends(x) | (F.size(x) <= 5))
+    hits = F.filter(F.transform(at, phrase), good)
+    return F.when(F.size(hits) > 0, F.array_join(F.element_at(hits, -1), " "))
+
+
+def sanitised_building(name: Column, norm: Column) -> Column:
+    """A parser's building: its trimmed name where that is a building's, else what the name up to a city word holds of a building, else that itself if it is one of six words at most."""
+    cleaned = trimmed_building(name)
+    upto = F.trim(F.regexp_replace(T.norm_name(name), r"(?<=^.{6,400}?) ?(?:BANGALORE|BENGALURU|KARNATAKA|INDIA)(?: .*)?$", ""))
+    inner = trimmed_building(F.coalesce(T.building_by_ending(upto), after_unit(upto)))
+    return F.coalesce(F.when(T.valid_building(cleaned), cleaned), F.when(T.valid_building(inner), inner), F.when(T.valid_building(upto) & (F.size(T.tokens(upto)) <= 6), upto))
+
+
+def locality_like(name: Column, locality: Column, listed: Column) -> Column:
+    """Whether a name is the locality's, a common one's, or (`listed`) that of a listed one of two words at most."""
+    n = T.norm_name(name)
+    return F.coalesce(n == T.norm_name(locality), F.lit(False)) | n.isin(W.COMMON_LOCALITIES) | (F.coalesce(listed, F.lit(False)) & (F.size(T.tokens(n)) <= 2))
 
 
 def locality_as_building(norm: Column, locality: Column) -> Column:
     """The locality itself where it stands in the text, ends like an area and has no street word."""
     n = T.norm_name(locality)
-    ends = n.rlike(r"(?:LAYOUT|COLONY|GARDEN|NAGAR|PURAM|PURA|HALLI|EXTENSION|ENCLAVE|TOWNSHIP)$")
+    ends = n.rlike(f"(?:{'|'.join(W.LOCALITY_ENDS)})$")
     return F.when(ends & F.concat(F.lit(" "), norm, F.lit(" ")).contains(F.concat(F.lit(" "), n, F.lit(" "))), _unless(n, ["MAIN", "CROSS", "ROAD", "BLOCK", "FLOOR", "STAGE", "PHASE", "SECTOR"]))
 
 
 def first_building(norm: Column) -> Column:
     """What the text itself names: by its ending, a compound word, after the unit, a layout."""
-    after = _first(norm, r"(?:FLAT|HOUSE|UNIT|APARTMENT|DOOR|PLOT|NO)(?: NO)? [A-Z]?[0-9]+[A-Z]? ((?:[A-Z]{3,} ){1,2}[A-Z]{3,})(?: |$)")
+    after = after_unit(norm)
     return F.coalesce(trimmed_building(T.building_by_ending(norm)), compound_building(norm), F.when(T.valid_building(after), after), layout_building(norm))
 
 
-def fallback_building(norm: Column, locality: Column) -> Column:
-    """struct(value, source): what still stands for a building where none was named, and which way it was found."""
-    ways = {"landmark": landmark_building(norm), "one_word_layout": one_word_layout(norm, locality), "bldg": before_bldg(norm), "residence": residence(norm), "society": society(norm, locality), "locality": locality_as_building(norm, locality), "single_area": single_area(norm), "enclave": enclave(norm, locality), "before_floor": before_floor(norm, locality)}
+def fallback_building(norm: Column, locality: Column, named_area: Column | None = None) -> Column:
+    """struct(value, source): what still stands for a building where none was named, and which way it was found; `named_area` is a listed place in the text, if one was looked for."""
+    ways = {"landmark": landmark_building(norm), "one_word_layout": one_word_layout(norm, locality), "bldg": before_bldg(norm), "residence": residence(norm), "society": society(norm, locality), "locality": locality_as_building(norm, locality), "named_area": F.lit(None).cast("string") if named_area is None else named_area, "single_area": single_area(norm), "enclave": enclave(norm, locality), "before_floor": before_floor(norm, locality)}
     return F.struct(F.coalesce(*ways.values()).alias("value"), F.coalesce(*(F.when(c.isNotNull(), F.lit(n)) for n, c in ways.items())).alias("source"))

@@ -161,7 +161,77 @@ def place_names_agree(a: Column, b: Column, cutoff: float = 0.85) -> Column:
     """Equal keys, one within the other, or an edit distance that the cutoff allows."""
     x, y = city_key(a), city_key(b)
     longest = F.greatest(F.length(x), F.length(y))
-    return (x != "") & (y != "") & ((x == y) | x.contains(y) | y.contains(x) | (F.levenshtein(x, y) <= F.floor((1 - cutoff) * longest)))
+    return (x != "") & (y != "") & ((x == y) | x.contains(y) | y.contains(x) | (F.levenshtein(x, y) <= F.floor((1 - cutoff) * longest + 1e-9)))
+
+
+def state_name(code: Column) -> Column:
+    """The state of a code in any case; null for an unknown code."""
+    return lookup(W.STATES, F.upper(F.trim(code)))
+
+
+def state_code(name: Column) -> Column:
+    """The first code, in the order of the list, whose state is called so."""
+    first: dict[str, str] = {}
+    for code, state in W.STATES.items():
+        first.setdefault(state.lower(), code)
+    return lookup(first, F.lower(F.trim(name)))
+
+
+def state_evidence(own: Column, known: Column) -> Column:
+    """What the row's own state and that of its pin tell, both codes: 1 agree, -1 differ, 0 only the pin tells it, null neither or only the row."""
+    a, b = state_name(own), state_name(known)
+    return F.when(b.isNull(), F.lit(None).cast("int")).when(a.isNull(), 0).when(F.coalesce(place_names_agree(a, b), F.lit(False)), 1).otherwise(-1)
+
+
+def _cased(w: Column) -> Column:
+    return F.lower(w) != F.upper(w)
+
+
+def title_locality(c: Column) -> Column:
+    """Words in small letters with a capital, others as they are."""
+    return F.array_join(F.transform(tokens(c), lambda w: F.when(_cased(w) & (w == F.lower(w)), F.initcap(w)).otherwise(w)), " ")
+
+
+def title_building(c: Column) -> Column:
+    """Words all in capitals or all in small letters with one capital, mixed ones as they are."""
+    return F.array_join(F.transform(tokens(c), lambda w: F.when(_cased(w) & ((w == F.lower(w)) | (w == F.upper(w))), F.initcap(w)).otherwise(w)), " ")
+
+
+def trim_landmark(text: Column, city: Column, district: Column) -> Column:
+    """A landmark up to the first mention, after its sixth letter, of the city, district, country or a state; the whole of it where less than three letters would be left."""
+    up = F.upper(text)
+    stops = [F.upper(F.trim(city)), F.upper(F.trim(district)), *(F.lit(x) for x in W.LANDMARK_STOPS)]
+    ats = [F.when((F.length(x) > 0) & (F.position(x, up) > 6), F.position(x, up)) for x in stops]
+    cut = F.trim(F.substring(text, F.lit(1), F.coalesce(F.array_min(F.array_compact(F.array(*ats))) - 1, F.length(text))), F.lit(" ,.-"))
+    return F.when(F.length(F.trim(text)) > 0, F.when(F.length(cut) >= 3, cut).otherwise(text))
+
+
+def locality_phrases(text: Column, most: int = 8) -> Column:
+    """The parts between commas and semicolons of five letters or more, then the first and last four and three words, each once, `most` of them."""
+    parts = F.filter(F.transform(F.split(text, "[,;]"), lambda x: F.trim(x, F.lit(" ,.-"))), lambda x: F.length(x) >= 5)
+    w = tokens(text)
+    ends = lambda n: F.when(F.size(w) >= n, F.array(F.array_join(F.slice(w, 1, n), " "), F.array_join(F.slice(w, F.greatest(F.size(w) - n + 1, F.lit(1)), F.lit(n)), " "))).otherwise(F.array().cast(NO_WORDS))
+    runs = F.filter(F.when(F.size(w) >= 3, F.concat(ends(4), ends(3))).otherwise(F.array().cast(NO_WORDS)), lambda x: F.length(x) >= 6)
+    return F.slice(F.array_distinct(F.concat(parts, runs)), 1, most)
+
+
+def precise_locality(locality: Column, building: Column) -> Column:
+    """The area phrase at the end of what a parser took for the locality, of four words at most, without words of the building's name; null where it ends in no area word."""
+    among = lambda words: F.array(*(F.lit(x) for x in words))
+    bare = norm_name(F.regexp_replace(F.upper(restore_ordinals(locality)), r"\b(?:BANGALORE|BENGALURU|KARNATAKA|INDIA)\b", " "))
+    w = tokens(F.regexp_replace(bare, r"( [0-9]+)+$|^[0-9]+$", ""))
+    barrier = lambda x: F.array_contains(among(W.STREET_TOKENS), x) | x.rlike("[0-9]")
+    last = F.array_max(F.transform(w, lambda x, i: F.when(barrier(x), i + 1).otherwise(0)))
+    tail = F.slice(w, F.coalesce(last, F.lit(0)) + 1, F.size(w))
+    ends = F.transform(tail, lambda x: x.rlike(f"(?:{'|'.join(W.AREA_SUFFIXES)})$"))
+    phrase = F.slice(tail, F.lit(1), F.greatest(F.array_position(ends, F.lit(True)).cast("int"), F.lit(0)))
+    phrase = F.slice(phrase, F.greatest(F.size(phrase) - 3, F.lit(1)), F.lit(4))
+    own = tokens(norm_name(F.coalesce(building, F.lit(""))))
+    drop = F.aggregate(phrase, F.lit(0), lambda n, x: F.when((n >= 0) & F.array_contains(own, x), n + 1).when(n >= 0, -n - 1).otherwise(n))
+    drop = F.least(F.when(drop < 0, -drop - 1).otherwise(drop), F.size(phrase) - 1)
+    kept = F.slice(phrase, F.greatest(drop, F.lit(0)) + 1, F.size(phrase))
+    good = F.coalesce(F.get(ends, F.size(ends) - 1), F.lit(False)) & F.exists(kept, lambda x: F.length(x) >= 4)
+    return F.when(good, F.initcap(F.array_join(kept, " ")))
 
 
 def confidence(pin: Column, pin_known: Column, state: Column, city_agrees: Column, city: Column, building: Column, rule: Column, osm: Column, same_as_locality: Column, locality_source: Column, locality: Column, number: Column, landmark: Column) -> Column:
