@@ -27,15 +27,25 @@ def longest_of(found: Column) -> Column:
 
 def phrases_ending(norm: Column, ends: list[str], least: int, most: int) -> Column:
     """For each word of `ends` the phrase of it and the `least` to `most` plain words straight before it; a plain word begins with a letter and has two signs or more."""
-    w = T.tokens(norm)
-    at = F.filter(F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1))), lambda i: F.array_contains(_among(ends), F.get(w, i - 1)))
+    def found(w: Column) -> Column:
+        def phrase(i: Column) -> Column:
+            lead = F.slice(w, F.greatest(i - most, F.lit(1)), F.least(i - 1, F.lit(most)))
+            return F.concat(_plain_end(lead), F.slice(w, i, F.lit(1)))
 
-    def phrase(i: Column) -> Column:
-        lead = F.slice(w, F.greatest(i - most, F.lit(1)), F.least(i - 1, F.lit(most)))
-        bad = F.coalesce(F.array_max(F.transform(lead, lambda x, k: F.when(x.rlike(f"^{WORD}$"), 0).otherwise(k + 1))), F.lit(0))
-        return F.concat(F.slice(lead, bad + 1, F.size(lead)), F.slice(w, i, F.lit(1)))
+        at = F.filter(F.transform(w, lambda x, i: F.when(F.array_contains(_among(ends), x), i + 1)), lambda i: i.isNotNull())
+        return F.transform(F.filter(F.transform(at, phrase), lambda x: F.size(x) > least), lambda x: F.array_join(x, " "))
 
-    return F.transform(F.filter(F.transform(at, phrase), lambda x: F.size(x) > least), lambda x: F.array_join(x, " "))
+    return T.let(T.tokens(norm), found)
+
+
+def _plain_end(words: Column) -> Column:
+    """The plain words at the end of some words."""
+    return T.let(words, lambda lead: F.slice(lead, F.coalesce(F.array_max(F.transform(lead, lambda x, k: F.when(x.rlike(f"^{WORD}$"), 0).otherwise(k + 1))), F.lit(0)) + 1, F.size(lead)))
+
+
+def _plain_start(words: Column) -> Column:
+    """The plain words at the start of some words."""
+    return T.let(words, lambda follow: F.slice(follow, F.lit(1), F.coalesce(F.array_min(F.filter(F.transform(follow, lambda x, k: F.when(~x.rlike(f"^{WORD}$"), k)), lambda k: k.isNotNull())), F.size(follow))))
 
 
 def _unless(name: Column, words: list[str]) -> Column:
@@ -107,35 +117,21 @@ def enclave(norm: Column, locality: Column) -> Column:
 def before_floor(norm: Column, locality: Column) -> Column:
     """The two to six words before GROUND FLOOR or 2ND FLOOR, the first such phrase that has no street word, isn't the locality and
     ends like a building or has a word of five letters."""
-    w = T.tokens(norm)
-    at = F.filter(F.sequence(F.lit(2), F.greatest(F.size(w), F.lit(2))), lambda i: (F.get(w, i - 1) == "FLOOR") & F.coalesce(F.get(w, i - 2).rlike("^(?:GROUND|[0-9]+(?:ST|ND|RD|TH))$"), F.lit(False)))
-
-    def phrase(i: Column) -> Column:
-        lead = F.slice(w, F.greatest(i - 7, F.lit(1)), F.least(i - 2, F.lit(6)))
-        bad = F.coalesce(F.array_max(F.transform(lead, lambda x, k: F.when(x.rlike(f"^{WORD}$"), 0).otherwise(k + 1))), F.lit(0))
-        return F.slice(lead, bad + 1, F.size(lead))
-
+    floor = lambda w: F.filter(F.transform(w, lambda x, i: F.when((x == "FLOOR") & F.coalesce(F.get(w, i - 1).rlike("^(?:GROUND|[0-9]+(?:ST|ND|RD|TH))$"), F.lit(False)), i)), lambda i: i > 1)
+    phrases = T.let(T.tokens(norm), lambda w: F.transform(floor(w), lambda i: _plain_end(F.slice(w, F.greatest(i - 6, F.lit(1)), F.least(i - 1, F.lit(6))))))
     good = lambda x: (F.size(x) >= 2) & ~F.arrays_overlap(x, _among(W.BUILDING_STOP)) & ~F.coalesce(F.array_join(x, "") == T.compact(locality), F.lit(False)) & (F.array_join(x, " ").rlike(rf"(?:^| )(?:{W.BUILDING_SUFFIX})$") | F.exists(x, lambda y: F.length(y) >= 5))
-    hit = F.get(F.filter(F.transform(at, phrase), good), F.lit(0))
-    return F.array_join(hit, " ")
+    return F.array_join(F.get(F.filter(phrases, good), F.lit(0)), " ")
 
 
 def after_unit(norm: Column) -> Column:
     """The last name of two to seven plain words after a unit and its number that has no street word and ends like a building or has five words at most."""
-    w = T.tokens(norm)
     units = _among(["FLAT", "FLATNO", "HOUSE", "HNO", "NO", "APT", "APARTMENT", "UNIT", "ROOM", "OFFICE", "PLOT"])
-    at = F.filter(F.sequence(F.lit(2), F.greatest(F.size(w), F.lit(2))), lambda i: F.array_contains(units, F.get(w, i - 2)) & F.coalesce(F.get(w, i - 1).rlike("[0-9]"), F.lit(False)))
-
-    def phrase(i: Column) -> Column:
-        follow = F.slice(w, i + 1, F.lit(7))
-        bad = F.array_min(F.filter(F.transform(follow, lambda x, k: F.when(x.rlike(f"^{WORD}$"), -1).otherwise(k)), lambda k: k >= 0))
-        return F.slice(follow, F.lit(1), F.coalesce(bad, F.size(follow)))
-
+    number = lambda w: F.filter(F.transform(w, lambda x, i: F.when(F.array_contains(units, x) & F.coalesce(F.get(w, i + 1).rlike("[0-9]"), F.lit(False)), i + 2)), lambda i: i.isNotNull())
+    phrases = T.let(T.tokens(norm), lambda w: F.transform(number(w), lambda i: _plain_start(F.slice(w, i + 1, F.lit(7)))))
     streets = _among([*W.STREET_TOKENS, *W.BUILDING_STOP])
     ends = lambda x: F.array_join(x, " ").rlike(rf"(?:^| )(?:{W.BUILDING_SUFFIX})$")
     good = lambda x: (F.size(x) >= 2) & ~F.arrays_overlap(x, streets) & (ends(x) | (F.size(x) <= 5))
-    hits = F.filter(F.transform(at, phrase), good)
-    return F.when(F.size(hits) > 0, F.array_join(F.element_at(hits, -1), " "))
+    return T.let(F.filter(phrases, good), lambda hits: F.array_join(F.get(hits, F.size(hits) - 1), " "))
 
 
 def sanitised_building(name: Column, norm: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -17,6 +18,11 @@ def lookup(table: dict[str, str], key: Column) -> Column:
     return F.element_at(F.create_map(*(F.lit(x) for kv in table.items() for x in kv)), key)
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with the value worked out once, however often `f` uses it: inside lambdas the planner shares no common parts."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"\s+", " "))
 
@@ -209,9 +215,9 @@ def trim_landmark(text: Column, city: Column, district: Column) -> Column:
 def locality_phrases(text: Column, most: int = 8) -> Column:
     """The parts between commas and semicolons of five letters or more, then the first and last four and three words, each once, `most` of them."""
     parts = F.filter(F.transform(F.split(text, "[,;]"), lambda x: F.trim(x, F.lit(" ,.-"))), lambda x: F.length(x) >= 5)
-    w = tokens(text)
-    ends = lambda n: F.when(F.size(w) >= n, F.array(F.array_join(F.slice(w, 1, n), " "), F.array_join(F.slice(w, F.greatest(F.size(w) - n + 1, F.lit(1)), F.lit(n)), " "))).otherwise(F.array().cast(NO_WORDS))
-    runs = F.filter(F.when(F.size(w) >= 3, F.concat(ends(4), ends(3))).otherwise(F.array().cast(NO_WORDS)), lambda x: F.length(x) >= 6)
+    none = F.array().cast(NO_WORDS)
+    ends = lambda w, n: F.when(F.size(w) >= n, F.array(F.array_join(F.slice(w, 1, n), " "), F.array_join(F.slice(w, F.greatest(F.size(w) - n + 1, F.lit(1)), F.lit(n)), " "))).otherwise(none)
+    runs = let(tokens(text), lambda w: F.filter(F.concat(ends(w, 4), ends(w, 3)), lambda x: F.length(x) >= 6))
     return F.slice(F.array_distinct(F.concat(parts, runs)), 1, most)
 
 
@@ -219,19 +225,24 @@ def precise_locality(locality: Column, building: Column) -> Column:
     """The area phrase at the end of what a parser took for the locality, of four words at most, without words of the building's name; null where it ends in no area word."""
     among = lambda words: F.array(*(F.lit(x) for x in words))
     bare = norm_name(F.regexp_replace(F.upper(restore_ordinals(locality)), r"\b(?:BANGALORE|BENGALURU|KARNATAKA|INDIA)\b", " "))
-    w = tokens(F.regexp_replace(bare, r"( [0-9]+)+$|^[0-9]+$", ""))
+    words = tokens(F.regexp_replace(bare, r"( [0-9]+)+$|^[0-9]+$", ""))
     barrier = lambda x: F.array_contains(among(W.STREET_TOKENS), x) | x.rlike("[0-9]")
-    last = F.array_max(F.transform(w, lambda x, i: F.when(barrier(x), i + 1).otherwise(0)))
-    tail = F.slice(w, F.coalesce(last, F.lit(0)) + 1, F.size(w))
-    ends = F.transform(tail, lambda x: x.rlike(f"(?:{'|'.join(W.AREA_SUFFIXES)})$"))
-    phrase = F.slice(tail, F.lit(1), F.greatest(F.array_position(ends, F.lit(True)).cast("int"), F.lit(0)))
-    phrase = F.slice(phrase, F.greatest(F.size(phrase) - 3, F.lit(1)), F.lit(4))
+    last = lambda w: F.coalesce(F.array_max(F.transform(w, lambda x, i: F.when(barrier(x), i + 1).otherwise(0))), F.lit(0))
+    ends = lambda x: x.rlike(f"(?:{'|'.join(W.AREA_SUFFIXES)})$")
     own = tokens(norm_name(F.coalesce(building, F.lit(""))))
-    drop = F.aggregate(phrase, F.lit(0), lambda n, x: F.when((n >= 0) & F.array_contains(own, x), n + 1).when(n >= 0, -n - 1).otherwise(n))
-    drop = F.least(F.when(drop < 0, -drop - 1).otherwise(drop), F.size(phrase) - 1)
-    kept = F.slice(phrase, F.greatest(drop, F.lit(0)) + 1, F.size(phrase))
-    good = F.coalesce(F.get(ends, F.size(ends) - 1), F.lit(False)) & F.exists(kept, lambda x: F.length(x) >= 4)
-    return F.when(good, F.initcap(F.array_join(kept, " ")))
+
+    def without_own(phrase: Column) -> Column:
+        """Without the words at its start that the building's name has, but for the last one."""
+        first = F.array_min(F.filter(F.transform(phrase, lambda x, i: F.when(F.array_contains(own, x), F.lit(None)).otherwise(i)), lambda i: i.isNotNull()))
+        return F.slice(phrase, F.least(F.coalesce(first, F.size(phrase)), F.size(phrase) - 1) + 1, F.size(phrase))
+
+    def of_tail(tail: Column) -> Column:
+        first = F.array_min(F.filter(F.transform(tail, lambda x, i: F.when(ends(x), i + 1)), lambda i: i.isNotNull()))
+        phrase = F.slice(tail, F.greatest(first - 3, F.lit(1)), F.least(first, F.lit(4)))
+        kept = let(phrase, without_own)
+        return F.when((F.size(tail) > 0) & ends(F.coalesce(F.get(tail, F.size(tail) - 1), F.lit(""))), let(kept, lambda k: F.when(F.exists(k, lambda x: F.length(x) >= 4), F.initcap(F.array_join(k, " ")))))
+
+    return let(let(words, lambda w: F.slice(w, last(w) + 1, F.size(w))), of_tail)
 
 
 def confidence(pin: Column, pin_known: Column, state: Column, city_agrees: Column, city: Column, building: Column, rule: Column, osm: Column, same_as_locality: Column, locality_source: Column, locality: Column, number: Column, landmark: Column) -> Column:

@@ -44,6 +44,21 @@ def haversine(lat_a, lon_a, lat_b, lon_b):
     return 2 * EARTH_KM * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
 
 
+def near_centres(points: DataFrame, centres: DataFrame, km: float) -> DataFrame:
+    """`points` (lat, lon, …) joined with those of `centres` (cy, cx, …) at most `km` away, with the distance `away`; `km` is at most 78.
+
+    An equi-join on cells of one degree, of which a centre takes the nine around it: within the latitudes of 45 degrees either side of
+    the equator a degree is 78 kilometres at least.
+    """
+    if km > 78:
+        raise ValueError("cells of one degree reach no farther than 78 km")
+    around = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    c = centres.withColumn("__y", F.explode(F.transform(around, lambda i: F.floor("cy") + i))).withColumn("__x", F.explode(F.transform(around, lambda i: F.floor("cx") + i)))
+    p = points.withColumn("__y", F.floor("lat")).withColumn("__x", F.floor("lon"))
+    away = haversine(F.col("lat"), F.col("lon"), F.col("cy"), F.col("cx"))
+    return p.join(c, ["__y", "__x"]).withColumn("away", away).where(F.col("away") <= km).drop("__y", "__x")
+
+
 class SplitTree:
     """Axis-parallel cuts of space into `leaves` partitions, from sample vectors."""
 

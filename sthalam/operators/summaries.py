@@ -59,3 +59,10 @@ def precision_rollup(df: DataFrame, stratum: str, correct: Column, wrong: Column
     r = df.withColumn("__s", F.col(stratum)).rollup("__s").agg(F.grouping("__s").alias("g"), F.count_if(correct).alias("correct"), F.count_if(wrong).alias("wrong"))
     decided = F.col("correct") + F.col("wrong")
     return r.select(F.when(F.col("g") == 1, "ALL").otherwise(F.col("__s")).alias("stratum"), "correct", "wrong", F.when(decided > 0, F.round(F.col("correct") / decided, 6)).alias("precision"))
+
+
+def counters() -> list[Column]:
+    """Aggregates over a parsed table: total, matched, located, zip_missing, state_missing and the bins high, middle and low of the confidence."""
+    n = lambda x, name: F.count_if(F.coalesce(x, F.lit(False))).alias(name)
+    c = F.col("confidence")
+    return [F.count("*").alias("total"), n(F.col("dotcom_matched") == "Yes", "matched"), n(F.col("location_matched") == "Yes", "located"), n(~filled("zip"), "zip_missing"), n(~filled("state_code"), "state_missing"), n(c >= 0.8, "high"), n((c >= 0.6) & (c < 0.8), "middle"), n(c < 0.6, "low")]

@@ -9,7 +9,7 @@ from sthalam.functions import text as T
 from sthalam.functions import words as W
 from sthalam.operators import summaries as S
 from sthalam.operators.matching import fuzzy_pairs
-from sthalam.operators.spatial import haversine
+from sthalam.operators.spatial import haversine, near_centres
 
 #: How far each way of finding a pin is to be relied on (fixed values), best first.
 METHODS = {"no_postal_code": "", "office_exact": "high", "combo_learned": "high", "office_fuzzy": "medium", "geocode_postcode": "medium", "geocode_nearest_po": "low", "city_default": "very_low", "unresolved": ""}
@@ -40,9 +40,7 @@ def catalogue_pins(catalogue: DataFrame, points: DataFrame, learned: DataFrame,
     good = points.where("latitude <> 0 AND longitude <> 0 AND pin IS NOT NULL")
     geo = good.groupBy("pin").agg(F.min(F.struct("latitude", "longitude")).alias("g")).select("pin", F.col("g.latitude").alias("lat"), F.col("g.longitude").alias("lon"))
     centre = catalogue.select(T.city_key(F.col("city")).alias("city_key"), F.col("pincode").alias("pin")).join(geo, "pin").groupBy("city_key").agg(F.percentile_approx("lat", 0.5).alias("cy"), F.percentile_approx("lon", 0.5).alias("cx"))
-    cells = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    near = centre.withColumn("gy", F.explode(F.transform(cells, lambda i: F.floor("cy") + i))).withColumn("gx", F.explode(F.transform(cells, lambda i: F.floor("cx") + i)))
-    region = geo.withColumn("gy", F.floor("lat")).withColumn("gx", F.floor("lon")).join(near, ["gy", "gx"]).where(haversine(F.col("lat"), F.col("lon"), F.col("cy"), F.col("cx")) <= W.CITY_RADIUS_KM).select("city_key", "pin", "lat", "lon").distinct()
+    region = near_centres(geo, centre, W.CITY_RADIUS_KM).select("city_key", "pin", "lat", "lon").distinct()
     # districts that the city's records touch
     of_pin = points.where("pin IS NOT NULL AND district IS NOT NULL").groupBy("pin").agg(F.min("district").alias("district")) if "district" in points.columns else geo.select("pin", F.lit("").alias("district"))
     core = catalogue.select(T.city_key(F.col("city")).alias("city_key"), F.col("pincode").alias("pin")).join(of_pin, "pin").select("city_key", "district").distinct().join(of_pin, "district").select("city_key", "pin", F.lit(True).alias("core"))
@@ -136,10 +134,10 @@ def run_report(parsed: DataFrame, seconds: float | None = None, states: DataFram
     With `states` (pin, state) also how many rows' states agree with that of their pin, and the first twenty that don't.
     """
     columns = ["building_number", "building_name", "landmark", "locality", "city", "district"]
-    c, n = F.col("confidence"), lambda x, name: F.count_if(F.coalesce(x, F.lit(False))).alias(name)
-    r = parsed.agg(F.count("*").alias("rows"), n(F.col("dotcom_matched") == "Yes", "matched"), n(~S.filled("zip"), "zip_missing"), n(c >= 0.8, "high"), n((c >= 0.6) & (c < 0.8), "middle"), n(c < 0.6, "low"), *(n(S.filled(x), x) for x in columns)).first()
-    share = lambda x: f"{100 * r[x] / r['rows']:.1f}%" if r["rows"] else "0.0%"
-    lines = [f"rows: {r['rows']}", f"matched: {r['matched']} ({share('matched')})", f"zip missing: {r['zip_missing']}"]
+    n = lambda x, name: F.count_if(F.coalesce(x, F.lit(False))).alias(name)
+    r = parsed.agg(*S.counters(), *(n(S.filled(x), x) for x in columns)).first()
+    share = lambda x: f"{100 * r[x] / r['total']:.1f}%" if r["total"] else "0.0%"
+    lines = [f"rows: {r['total']}", f"matched: {r['matched']} ({share('matched')})", f"zip missing: {r['zip_missing']}"]
     lines += [f"{x}: {r[x]} ({share(x)})" for x in columns] + [f"confidence {x}: {r[x]} ({share(x)})" for x in ("high", "middle", "low")]
     for c in ("dotcom_match_rule", "locality_source"):
         lines += [f"{c} {x[c] or 'none'}: {x['count']}" for x in parsed.groupBy(c).count().orderBy(F.desc("count"), c).limit(50).collect()]
@@ -149,5 +147,5 @@ def run_report(parsed: DataFrame, seconds: float | None = None, states: DataFram
         lines += [f"state agrees: {e['agree']}", f"state differs: {e['differ']}"]
         lines += [f"  {x['row_id']}: {x['state_code']}, pin {x['zip']} is in {x['state']}" for x in j.where("e = -1").orderBy("row_id").limit(20).select("row_id", "state_code", "zip", "state").collect()] if "row_id" in parsed.columns else []
     if seconds:
-        lines.append(f"rows per second: {r['rows'] / seconds:.1f}")
+        lines.append(f"rows per second: {r['total'] / seconds:.1f}")
     return "\n".join(lines) + "\n"

@@ -34,6 +34,14 @@ class Dimensions:
     cities: DataFrame  # city_key, city
 
 
+def place_pins(catalogue: DataFrame) -> DataFrame:
+    """(city_key, base, pin): the pins that sure records give for a city's sub-locality, each once."""
+    c = catalogue.where("city IS NOT NULL AND sublocation IS NOT NULL")
+    sure = c.where("pincode_confidence IN ('high', 'medium')") if "pincode_confidence" in c.columns else c
+    pins = sure.select(T.city_key(F.col("city")).alias("city_key"), T.locality_base(T.match_text(F.col("sublocation"))).alias("base"), F.explode(F.split("all_pincodes", ";")).alias("pin"))
+    return pins.withColumn("pin", F.trim("pin")).where("pin <> ''").distinct()
+
+
 def dimensions(catalogue: DataFrame, localities: DataFrame, points: DataFrame | None = None) -> Dimensions:
     """All dimension tables from a catalogue (rec_id, projectname, city, sublocation, all_pincodes, pincode_confidence), a list of
     localities (pincode, locality, city, source) and, if there are any, points (pin, latitude, longitude)."""
@@ -43,8 +51,7 @@ def dimensions(catalogue: DataFrame, localities: DataFrame, points: DataFrame |
     r = r.groupBy("city_key", "name", "sub").agg(F.min(F.struct("rec_id", "shown", "shown_sub")).alias("f")).select("city_key", "name", "sub", "f.*")
     r = r.withColumn("base", T.locality_base(F.col("sub"))).withColumn("brand", F.get(T.tokens(F.col("name")), F.lit(0))).withColumn("generic", T.generic_name(F.col("name"))).withColumn("phases", T.phase_numbers(F.col("name")))
     r = r.withColumn("alone", F.count("*").over(Window.partitionBy("city_key", "name")) == 1)
-    sure = c.where("pincode_confidence IN ('high', 'medium')") if "pincode_confidence" in c.columns else c
-    place = sure.select(T.city_key(F.col("city")).alias("city_key"), T.locality_base(T.match_text(F.col("sublocation"))).alias("base"), F.explode(F.split("all_pincodes", ";")).alias("pin")).withColumn("pin", F.trim("pin")).where("pin <> ''").distinct()
+    place = place_pins(c)
     n = T.match_text(T.clean_locality(F.col("locality")))
     forms = localities.select(F.trim("pincode").alias("pin"), F.explode(F.array_distinct(F.array(n, T.locality_base(n)))).alias("form")).where(F.length("form") >= 3).distinct()
     by_city = localities.where("city IS NOT NULL AND source <> 'post_list'").groupBy(F.trim("pincode").alias("pin"), T.city_key(F.col("city")).alias("k")).count()
