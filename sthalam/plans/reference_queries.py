@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sthalam.functions import extract as X
 from sthalam.functions import text as T
 from sthalam.functions import words as W
+from sthalam.operators import dictionary as D
 from sthalam.operators import matching as M
 from sthalam.operators import summaries as S
-from sthalam.operators.spatial import haversine
+from sthalam.operators.spatial import near_centres
+from sthalam.plans import parse as P
 from sthalam.plans.parse import parse_addresses, prepare
-from sthalam.plans.project_match import Dimensions, dimensions, match_projects
+from sthalam.plans.project_match import Dimensions, dimensions, match_projects, place_pins
+from sthalam.plans.slots import slot_stats, with_label
 from sthalam.session import spread, table
 
+#: Names that make a brand in the queries: the operator's own default of 15 is met by no brand of the small tables.
+FEW = 5
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -96,26 +103,28 @@ def q03_abbrev_expand(s, d):
     return combo(s, d).select("row_id", T.expand(T.norm_name(F.col("address"))).alias("full_words"), T.match_text(F.col("address")).alias("for_matching"))
 
 
-PLACES = ["VELMORA", "KOTHANDRA", "SUMBAIRI", "DRELIPUR", "PUNWADI", "LUKHORA", "AHMISTAN", "GURVETA", "HASKANAD", "MYSANDI", "CHENOVAR", "NAGVELLI"]
+@query(f"SELECT row_id, array_to_string(list_reduce(list_transform({s_words(s_norm('address'))}, lambda w: [w]), lambda a, w: CASE WHEN a[-1] = w[1] OR (list_contains({s_list(W.GEO_TOKENS)}, w[1]) AND list_contains(a, w[1])) THEN a ELSE list_concat(a, w) END, CAST([] AS VARCHAR[])), ' ') AS once FROM combo_demog WHERE address IS NOT NULL")
+def q04_dedupe_tokens(s, d):
+    return combo(s, d).where("address IS NOT NULL").select("row_id", T.drop_repeats(T.norm_name(F.col("address"))).alias("once"))
 
 
-@query(f"SELECT row_id, array_to_string(list_reduce(list_transform({s_words(s_norm('address'))}, lambda w: [w]), lambda a, w: CASE WHEN a[-1] = w[1] OR (list_contains({s_list(PLACES)}, w[1]) AND list_contains(a, w[1])) THEN a ELSE list_concat(a, w) END, CAST([] AS VARCHAR[])), ' ') AS once FROM combo_demog WHERE address IS NOT NULL")
-def q04_dedupe_tokens(s, d):
-    return combo(s, d).where("address IS NOT NULL").select("row_id", T.drop_repeats(T.norm_name(F.col("address")), PLACES).alias("once"))
+def s_all(x: str, pattern: str, new: str) -> str:
+    return f"regexp_replace({x}, '{pattern}', '{new}', 'g')"
 
 
-@query(r"SELECT row_id, len(regexp_extract_all(address, '[A-Za-z0-9_.+-]+@[A-Za-z0-9_-]+\.[A-Za-z0-9_.]+')) AS emails, len(regexp_extract_all(address, '(?:\+?91[ -]?)?[5-9][0-9]{9}')) AS phones, regexp_replace(regexp_replace(address, '[A-Za-z0-9_.+-]+@[A-Za-z0-9_-]+\.[A-Za-z0-9_.]+', ' ', 'g'), '(?:\+?91[ -]?)?[5-9][0-9]{9}', ' ', 'g') AS rest FROM combo_demog WHERE address IS NOT NULL")
+@query(f"SELECT row_id, len(regexp_extract_all(address, '{P.MAIL}')) AS emails, len(regexp_extract_all(address, '{P.PHONE}')) AS phones, {s_all(s_all('address', P.MAIL, ' '), P.PHONE, ' ')} AS rest FROM combo_demog WHERE address IS NOT NULL")
 def q05_email_phone_strip(s, d):
-    mail, phone = r"[A-Za-z0-9_.+-]+@[A-Za-z0-9_-]+\.[A-Za-z0-9_.]+", r"(?:\+?91[ -]?)?[5-9][0-9]{9}"
     a = F.col("address")
-    return combo(s, d).where("address IS NOT NULL").select("row_id", F.size(F.regexp_extract_all(a, F.lit(mail), F.lit(0))).cast("bigint").alias("emails"), F.size(F.regexp_extract_all(a, F.lit(phone), F.lit(0))).cast("bigint").alias("phones"), F.regexp_replace(F.regexp_replace(a, mail, " "), phone, " ").alias("rest"))
+    size = lambda p: F.size(P.found_all(a, p)).cast("bigint")
+    return combo(s, d).where("address IS NOT NULL").select("row_id", size(P.MAIL).alias("emails"), size(P.PHONE).alias("phones"), P.without_contacts(a).alias("rest"))
+
+
+_SLASH = s_all(s_all(s_all("address", "[#*._-]{{3,}}".replace("{{", "{").replace("}}", "}"), " "), "(?i)(^|[^A-Z0-9])/([^A-Z0-9/]|$)", r"\1, \2"), "(?i)(^|[^A-Z0-9])/([^A-Z0-9/]|$)", r"\1, \2")
 
 
-@query(r"SELECT row_id, trim(regexp_replace(regexp_replace(regexp_replace(address, '[#*._-]{3,}', ' ', 'g'), '[;|\n\r\t]+|\s{2,}|,', ', ', 'g'), '(?:\s*,\s*)+', ', ', 'g'), ' ,.-') AS even FROM combo_demog WHERE address IS NOT NULL")
+@query(f"SELECT row_id, trim({s_all(s_all(_SLASH, r'[;|\n\r\t]+|\s{2,}|,', ', '), r'(?:\s*,\s*)+', ', ')}, ' ,.-') AS even FROM combo_demog WHERE address IS NOT NULL")
 def q06_junk_separators(s, d):
-    x = F.regexp_replace("address", r"[#*._-]{3,}", " ")
-    x = F.regexp_replace(F.regexp_replace(x, r"[;|\n\r\t]+|\s{2,}|,", ", "), r"(?:\s*,\s*)+", ", ")
-    return combo(s, d).where("address IS NOT NULL").select("row_id", F.trim(x, F.lit(" ,.-")).alias("even"))
+    return combo(s, d).where("address IS NOT NULL").select("row_id", P.even_separators(P.without_marks(F.col("address"))).alias("even"))
 
 
 @query("SELECT row_id, coalesce(nullif(trim(zip), ''), nullif(regexp_extract(address, '(?:^|[^0-9A-Za-z_])([1-9][0-9]{5})(?:$|[^0-9A-Za-z_])', 1), '')) AS pin FROM combo_demog")
@@ -123,14 +132,13 @@ def q07_pincode_extract(s, d):
     return combo(s, d).select("row_id", T.pin_in(F.col("address"), F.col("zip")).alias("pin"))
 
 
-CARE = r"^\s*(?:[SWDC]/O|SON OF|WIFE OF|DAUGHTER OF|CARE OF)\.? +([A-Z][A-Z .]{2,60}?) *(?:,|;|FLAT|FLT|HOUSE|PLOT|DOOR|SHOP|NO\b|H NO|#|[0-9])"
-FIRM = r"\b([A-Z]+ (?:TRADERS|FOODS|LOGISTICS|ENTERPRISES)(?: (?:PVT|LTD|LLP))*)"
+_CARE = P.CARE_OF.replace("(?=", "(?:")  # what follows the name is read, not only looked at; the name is the same
 
 
-@query(f"SELECT row_id, nullif(regexp_extract(upper(address), '{CARE}', 1), '') AS care_of, nullif(regexp_extract(upper(address), '{FIRM}', 1), '') AS firm FROM combo_demog WHERE address IS NOT NULL")
+@query(f"SELECT row_id, regexp_extract(address, '{_CARE}', 1) AS care_of, regexp_extract(address, '{P.FIRM}', 1) AS firm FROM combo_demog WHERE address IS NOT NULL")
 def q08_care_of_org(s, d):
-    a = F.upper("address")
-    return combo(s, d).where("address IS NOT NULL").select("row_id", F.nullif(F.regexp_extract(a, CARE, 1), F.lit("")).alias("care_of"), F.nullif(F.regexp_extract(a, FIRM, 1), F.lit("")).alias("firm"))
+    a = F.col("address")
+    return combo(s, d).where("address IS NOT NULL").select("row_id", P.care_of_in(a).alias("care_of"), P.firm_in(a).alias("firm"))
 
 
 @query(f"SELECT row_id, array_to_string(list_sort(list_distinct(regexp_extract_all({s_expand(s_norm('address'), W.ABBREVIATIONS)}, '(?:^| )(?:NEAR|OPPOSITE|BEHIND|BESIDE|NEXT TO|IN FRONT OF|ADJACENT TO) ((?:[A-Z0-9]+ ){{0,4}}[A-Z0-9]+)', 1))), '; ') AS landmarks FROM combo_demog WHERE address IS NOT NULL")
@@ -138,10 +146,14 @@ def q09_landmarks(s, d):
     return combo(s, d).where("address IS NOT NULL").select("row_id", F.array_join(F.array_sort(T.landmarks_in(T.expand(T.norm_name(F.col("address"))))), "; ").alias("landmarks"))
 
 
-@query(r"SELECT row_id, regexp_replace(upper(address), '\b([0-9]+) *(ST|ND|RD|TH)\b', '\1ORD\2', 'g') AS guarded, regexp_replace(regexp_replace(upper(address), '\b([0-9]+) *(ST|ND|RD|TH)\b', '\1ORD\2', 'g'), '\b([0-9]+)ORDND\b', '\1nd', 'g') AS back FROM combo_demog WHERE address IS NOT NULL")
+_GUARDED = r"regexp_replace(upper(address), '\b([0-9]+) *(ST|ND|RD|TH)\b', '\1ORD\2', 'g')"
+_BACK = reduce(lambda x, e: rf"regexp_replace({x}, '\b([0-9]+)ORD{e}\b', '\1{e.lower()}', 'g')", ("ST", "ND", "RD", "TH"), _GUARDED)
+
+
+@query(f"SELECT row_id, {_GUARDED} AS guarded, {_BACK} AS back FROM combo_demog WHERE address IS NOT NULL")
 def q10_ordinals(s, d):
     g = T.protect_ordinals(F.upper("address"))
-    return combo(s, d).where("address IS NOT NULL").select("row_id", g.alias("guarded"), F.regexp_replace(g, r"\b([0-9]+)ORDND\b", "$1nd").alias("back"))
+    return combo(s, d).where("address IS NOT NULL").select("row_id", g.alias("guarded"), T.restore_ordinals(g).alias("back"))
 
 
 @query(f"""WITH city AS (SELECT {s_city('city')} AS k, any_value(1) AS x FROM pincode_locality_merged WHERE city IS NOT NULL GROUP BY 1),
@@ -167,11 +179,11 @@ def q12_phase_guard(s, d):
     return catalogue(s, d).where("projectname IS NOT NULL").select("rec_id", F.array_join(p, ",").alias("phases"), T.phases_conflict(p, F.array(F.lit("1"))).alias("conflicts_with_first"))
 
 
-@query(f"""WITH b AS (SELECT string_split({s_norm('projectname')}, ' ')[1] AS brand FROM dotcom_catalogue GROUP BY 1 HAVING count(*) >= {W.BRAND_MIN}),
+@query(f"""WITH b AS (SELECT string_split({s_norm('projectname')}, ' ')[1] AS brand FROM dotcom_catalogue GROUP BY 1 HAVING count(*) >= {FEW} AND NOT list_contains({s_list(W.BRAND_STOP)}, brand) AND brand <> ''),
 t AS (SELECT row_id, {s_words(s_norm('address'))} AS w FROM combo_demog WHERE address IS NOT NULL), m AS (SELECT row_id, w, unnest(range(1, len(w) + 1)) AS i FROM t)
 SELECT row_id, brand, bool_and(list_has_any(w[greatest(i - 3, 1):i - 1], {s_list(W.LANDMARK_WORDS)})) AS as_landmark FROM m JOIN b ON brand = w[i] GROUP BY row_id, brand""")
 def q13_landmark_guard(s, d):
-    b = M.brands_of(catalogue(s, d).select(T.norm_name(F.col("projectname")).alias("name"))).select("brand")
+    b = M.brands_of(catalogue(s, d).select(T.norm_name(F.col("projectname")).alias("name")), FEW).select("brand")
     t = combo(s, d).where("address IS NOT NULL").select("row_id", T.tokens(T.norm_name(F.col("address"))).alias("w"))
     hits = t.select("row_id", "w", F.explode(F.array_distinct("w")).alias("brand")).join(b, "brand").dropDuplicates(["row_id", "brand"])
     return hits.select("row_id", "brand", T.named_as_landmark(F.col("w"), F.col("brand")).alias("as_landmark"))
@@ -196,9 +208,7 @@ def q15_place_match(s, d):
     head = lambda c: F.substring(T.city_key(F.col(c)), 1, 1)
     a = catalogue(s, d).where("city IS NOT NULL").select(F.col("city").alias("typed")).distinct().withColumn("head", head("typed"))
     b = pins(s, d).where("city IS NOT NULL").select(F.trim("city").alias("listed")).distinct().withColumn("head", head("listed"))
-    x, y = T.city_key(F.col("typed")), T.city_key(F.col("listed"))
-    near = F.levenshtein(x, y) <= F.floor(0.15 * F.greatest(F.length(x), F.length(y)) + 1e-9)
-    return a.join(b, "head").where((x != "") & (y != "") & ((x == y) | x.contains(y) | y.contains(x) | near)).select("typed", "listed")
+    return a.join(b, "head").where(T.place_names_agree(F.col("typed"), F.col("listed"))).select("typed", "listed")
 
 
 CENTRES_SQL = """c AS (SELECT substr(pin, 1, 3) AS area, (min(latitude) + max(latitude)) / 2 AS cy, (min(longitude) + max(longitude)) / 2 AS cx FROM pincodes WHERE latitude BETWEEN 6 AND 38 AND longitude BETWEEN 68 AND 98 AND pin IS NOT NULL GROUP BY 1)"""
@@ -211,13 +221,9 @@ def _centres(s, d):
 
 
 def _within(s, d, km: float):
-    """Points and the area centres within `km`: an equi-join on one-degree cells, of which a centre takes the nine around it."""
     p, c = _centres(s, d)
-    around = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    c = c.withColumn("gy", F.explode(F.transform(around, lambda i: F.floor("cy") + i))).withColumn("gx", F.explode(F.transform(around, lambda i: F.floor("cx") + i)))
-    p = p.select("point_id", "pin", "latitude", "longitude", F.floor("latitude").alias("gy"), F.floor("longitude").alias("gx"))
-    away = haversine(F.col("latitude"), F.col("longitude"), F.col("cy"), F.col("cx"))
-    return p.join(c, ["gy", "gx"]).withColumn("km", F.round(away, 6)).where(F.col("km") <= km)
+    p = p.select("point_id", "pin", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+    return near_centres(p, c, km).withColumn("km", F.round("away", 6))
 
 
 _AWAY = "round(2 * 6371.0 * asin(sqrt(least(1, pow(sin(radians(cy - latitude) / 2), 2) + cos(radians(latitude)) * cos(radians(cy)) * pow(sin(radians(cx - longitude) / 2), 2)))), 6)"
@@ -251,19 +257,16 @@ def q18_broadcast_lookup(s, d):
 @query(f"""WITH n AS (SELECT {s_city('city')} AS k, {s_norm('projectname')} AS n, min(projectname) AS shown FROM dotcom_catalogue WHERE projectname IS NOT NULL GROUP BY 1, 2), g AS (SELECT n, min(shown) AS shown FROM n GROUP BY 1)
 SELECT row_id, parsed_at, CASE WHEN c.k IS NOT NULL THEN n.shown ELSE g.shown END AS canonical FROM combo_demog_parsed p LEFT JOIN (SELECT DISTINCT k FROM n WHERE k IS NOT NULL) c ON c.k = {s_city('p.city')} LEFT JOIN n ON n.k = {s_city('p.city')} AND n.n = {s_norm('p.building_name')} LEFT JOIN g ON g.n = {s_norm('p.building_name')}""")
 def q19_scoped_else_global(s, d):
-    names = catalogue(s, d).where("projectname IS NOT NULL").groupBy(T.city_key(F.col("city")).alias("k"), T.norm_name(F.col("projectname")).alias("n")).agg(F.min("projectname").alias("here"))
-    anywhere = names.groupBy("n").agg(F.min("here").alias("anywhere"))
-    known = names.where("k IS NOT NULL").select("k").distinct().withColumn("known", F.lit(True))
+    names = catalogue(s, d).where("projectname IS NOT NULL").select(T.city_key(F.col("city")).alias("k"), T.norm_name(F.col("projectname")).alias("n"), "projectname")
     p = parsed(s, d).select("row_id", "parsed_at", T.city_key(F.col("city")).alias("k"), T.norm_name(F.col("building_name")).alias("n"))
-    j = p.join(known, "k", "left").join(names, ["k", "n"], "left").join(anywhere, "n", "left")
-    return j.select("row_id", "parsed_at", F.when(F.col("known"), F.col("here")).otherwise(F.col("anywhere")).alias("canonical"))
+    return D.scoped_else_global(p, names, scope="k", key="n", value="projectname", out="canonical").select("row_id", "parsed_at", "canonical")
 
 
 # --- dictionary matches
 _RUNS = "SELECT row_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS run FROM (SELECT row_id, w, i, unnest(range({least}, least({most}, len(w) - i + 1) + 1)) AS k FROM (SELECT row_id, w, unnest(range(1, len(w) + 1)) AS i FROM t))"
 
 
-@query(f"""WITH t AS (SELECT row_id, {s_words(s_match('address'))} AS w FROM combo_demog WHERE address IS NOT NULL), n AS (SELECT DISTINCT {s_match('projectname')} AS run FROM dotcom_catalogue WHERE projectname IS NOT NULL), r AS ({_RUNS.format(least=2, most=5)})
+@query(f"""WITH t AS (SELECT row_id, {s_words(s_match('address'))} AS w FROM combo_demog WHERE address IS NOT NULL), n AS (SELECT DISTINCT {s_match('projectname')} AS run FROM dotcom_catalogue WHERE projectname IS NOT NULL), r AS ({_RUNS.format(least=2, most=10)})
 SELECT row_id, max(struct_pack(k := k, l := -i, run := run)).run AS name, -max(struct_pack(k := k, l := -i, run := run)).l - 1 AS at FROM r SEMI JOIN n USING (run) WHERE length(run) >= 5 GROUP BY row_id""")
 def q20_ngram_exact_longest(s, d):
     names = catalogue(s, d).where("projectname IS NOT NULL").select(T.match_text(F.col("projectname")).alias("name"))
@@ -320,11 +323,11 @@ def q24b_indel_scores(s, d):
 _LOCALITIES = f"l AS (SELECT DISTINCT {s_match('locality')} AS run FROM pincode_locality_merged WHERE locality IS NOT NULL)"
 
 
-@query(f"""WITH {_LOCALITIES}, t AS (SELECT row_id, {s_words(s_match('address'))} AS w FROM combo_demog WHERE address IS NOT NULL), r AS ({_RUNS.format(least=1, most=3)}), h AS (SELECT DISTINCT row_id, run FROM r SEMI JOIN l USING (run) WHERE length(run) >= 4)
+@query(f"""WITH {_LOCALITIES}, t AS (SELECT row_id, {s_words(s_match('address'))} AS w FROM combo_demog WHERE address IS NOT NULL), r AS ({_RUNS.format(least=1, most=6)}), h AS (SELECT DISTINCT row_id, run FROM r SEMI JOIN l USING (run) WHERE length(run) >= 4)
 SELECT row_id, run AS locality FROM h WHERE NOT EXISTS (SELECT 1 FROM h o WHERE o.row_id = h.row_id AND length(o.run) > length(h.run) AND contains(' ' || o.run || ' ', ' ' || h.run || ' '))""")
 def q25_nested_hit_removal(s, d):
     l = pins(s, d).where("locality IS NOT NULL").select(T.match_text(F.col("locality")).alias("run")).distinct()  # noqa: E741
-    runs = M.word_runs(combo(s, d).where("address IS NOT NULL"), "row_id", T.match_text(F.col("address")), 1, 3, leads=M.first_words(l, "run")).where(F.length("run") >= 4)
+    runs = M.word_runs(combo(s, d).where("address IS NOT NULL"), "row_id", T.match_text(F.col("address")), 1, D.longest_name(l, "run"), leads=M.first_words(l, "run")).where(F.length("run") >= 4)
     hits = runs.join(l, "run").select("row_id", F.col("run").alias("locality")).distinct()
     return M.without_nested(hits, "row_id", "locality")
 
@@ -357,9 +360,9 @@ def q29_longest_repr(s, d):
     return S.longest(catalogue(s, d).withColumn("name", T.compact(F.col("projectname"))), ["name"], "projectname", F.col("rec_id"))
 
 
-@query(f"WITH b AS (SELECT string_split({s_norm('projectname')}, ' ')[1] AS brand FROM dotcom_catalogue WHERE projectname IS NOT NULL) SELECT brand, count(*) AS names FROM b WHERE brand <> '' AND NOT list_contains({s_list(W.BRAND_STOP)}, brand) GROUP BY brand HAVING count(*) >= {W.BRAND_MIN}")
+@query(f"WITH b AS (SELECT string_split({s_norm('projectname')}, ' ')[1] AS brand FROM dotcom_catalogue WHERE projectname IS NOT NULL) SELECT brand, count(*) AS names FROM b WHERE brand <> '' AND NOT list_contains({s_list(W.BRAND_STOP)}, brand) GROUP BY brand HAVING count(*) >= {FEW}")
 def q30_having_brand(s, d):
-    return M.brands_of(catalogue(s, d).select(T.norm_name(F.col("projectname")).alias("name")))
+    return M.brands_of(catalogue(s, d).select(T.norm_name(F.col("projectname")).alias("name")), FEW)
 
 
 @query(f"WITH n AS (SELECT locality, zip, count(*) AS n FROM combo_demog_parsed WHERE locality IS NOT NULL AND zip IS NOT NULL GROUP BY 1, 2) SELECT locality, zip, n FROM (SELECT *, sum(n) OVER (PARTITION BY zip) AS a FROM n) WHERE n >= {W.LEARNED_COUNT} AND n / a >= {W.LEARNED_SHARE}")
@@ -367,10 +370,9 @@ def q31_learned_share(s, d):
     return S.learned_pairs(parsed(s, d), "locality", "zip", W.LEARNED_COUNT, W.LEARNED_SHARE)
 
 
-@query(f"SELECT {s_city('city')} AS city_key, {s_match('sublocation')} AS sub, array_to_string(list_sort(list(DISTINCT pin)), ';') AS pins FROM (SELECT city, sublocation, trim(unnest(string_split(all_pincodes, ';'))) AS pin FROM dotcom_catalogue WHERE pincode_confidence IN ('high', 'medium') AND city IS NOT NULL AND sublocation IS NOT NULL) WHERE pin <> '' GROUP BY 1, 2")
+@query(f"SELECT {s_city('city')} AS city_key, regexp_replace({s_match('sublocation')}, ' +(PHASE|STAGE|SECTOR|BLOCK) +([IVX]+|[0-9]+)$', '') AS base, array_to_string(list_sort(list(DISTINCT pin)), ';') AS pins FROM (SELECT city, sublocation, trim(unnest(string_split(all_pincodes, ';'))) AS pin FROM dotcom_catalogue WHERE pincode_confidence IN ('high', 'medium') AND city IS NOT NULL AND sublocation IS NOT NULL) WHERE pin <> '' GROUP BY 1, 2")
 def q32_set_union_key(s, d):
-    c = catalogue(s, d).where("pincode_confidence IN ('high', 'medium') AND city IS NOT NULL AND sublocation IS NOT NULL").select(T.city_key(F.col("city")).alias("city_key"), T.match_text(F.col("sublocation")).alias("sub"), F.explode(F.split("all_pincodes", ";")).alias("pin"))
-    return c.withColumn("pin", F.trim("pin")).where("pin <> ''").groupBy("city_key", "sub").agg(F.array_join(F.array_sort(F.collect_set("pin")), ";").alias("pins"))
+    return place_pins(catalogue(s, d)).groupBy("city_key", "base").agg(F.array_join(F.array_sort(F.collect_set("pin")), ";").alias("pins"))
 
 
 FILLED = ["building_number", "building_name", "landmark", "locality", "locality_source", "city", "district", "dotcom_match_rule"]
@@ -383,9 +385,7 @@ def q33_fill_report(s, d):
 
 @query("SELECT count(*) AS total, count(*) FILTER (dotcom_matched = 'Yes') AS matched, count(*) FILTER (location_matched = 'Yes') AS located, count(*) FILTER (nullif(trim(zip), '') IS NULL) AS zip_missing, count(*) FILTER (nullif(trim(state_code), '') IS NULL) AS state_missing, count(*) FILTER (confidence >= 0.8) AS high, count(*) FILTER (confidence >= 0.6 AND confidence < 0.8) AS middle, count(*) FILTER (confidence < 0.6) AS low FROM combo_demog_parsed")
 def q33b_run_counters(s, d):
-    n = lambda c, name: F.count_if(F.coalesce(c, F.lit(False))).alias(name)
-    c = F.col("confidence")
-    return parsed(s, d).agg(F.count("*").alias("total"), n(F.col("dotcom_matched") == "Yes", "matched"), n(F.col("location_matched") == "Yes", "located"), n(~S.filled("zip"), "zip_missing"), n(~S.filled("state_code"), "state_missing"), n(c >= 0.8, "high"), n((c >= 0.6) & (c < 0.8), "middle"), n(c < 0.6, "low"))
+    return parsed(s, d).agg(*S.counters())
 
 
 @query("SELECT coalesce(locality_source, '') AS locality_source, coalesce(lower(trim(dotcom_match_rule)), '') AS rule, count(*) AS n FROM combo_demog_parsed GROUP BY 1, 2")
@@ -400,15 +400,34 @@ def s_case(t: dict, x: str, other: float) -> str:
 _HAS = lambda c: f"coalesce(length(trim({c})) > 0, false)"
 
 
-@query(f"""WITH {_PIN_CITY}, p AS (SELECT *, lower(trim(dotcom_match_rule)) AS rule, regexp_matches(coalesce(trim(zip), ''), '^[1-9][0-9]{{5}}$') AS is_pin FROM combo_demog_parsed LEFT JOIN pin ON pin = trim(zip))
-SELECT row_id, parsed_at, round(CAST(greatest(0, least(1, CASE WHEN is_pin THEN 0.18 ELSE 0 END + CASE WHEN is_pin AND pin_city IS NOT NULL THEN 0.07 ELSE 0 END + CASE WHEN coalesce({s_city('city')} = pin_city, false) THEN 0.1 WHEN {_HAS('city')} THEN 0.04 ELSE 0 END
+_STATES = f"st AS (SELECT pin, max(struct_pack(n := n, s := s)).s AS state FROM (SELECT trim(zip) AS pin, upper(trim(state_code)) AS s, count(*) AS n FROM combo_demog WHERE regexp_matches(trim(zip), '^[1-9][0-9]{{5}}$') AND list_contains({s_list(W.STATES)}, upper(trim(state_code))) GROUP BY 1, 2) GROUP BY pin)"
+
+
+def pin_states(s, d) -> DataFrame:
+    """(pin, state): the commonest known state code of a pin's bureau rows."""
+    r = combo(s, d).select(F.trim("zip").alias("pin"), F.upper(F.trim("state_code")).alias("s")).where(F.col("pin").rlike("^[1-9][0-9]{5}$") & F.col("s").isin(*W.STATES))
+    return r.groupBy("pin", "s").count().groupBy("pin").agg(F.max(F.struct("count", "s")).alias("t")).select("pin", F.col("t.s").alias("state"))
+
+
+def s_state(x: str) -> str:
+    return f"list_extract({s_list(W.STATES.values())}, list_position({s_list(W.STATES)}, upper(trim({x}))))"
+
+
+def s_evidence(own: str, known: str) -> str:
+    a, b = s_city(s_state(own)), s_city(s_state(known))
+    return f"CASE WHEN {b} IS NULL THEN NULL WHEN {a} IS NULL THEN 0 WHEN {a} = {b} OR contains({a}, {b}) OR contains({b}, {a}) OR levenshtein({a}, {b}) <= floor(0.15 * greatest(length({a}), length({b})) + 1e-9) THEN 1 ELSE -1 END"
+
+
+@query(f"""WITH {_PIN_CITY}, {_STATES}, p AS (SELECT *, lower(trim(dotcom_match_rule)) AS rule, regexp_matches(coalesce(trim(zip), ''), '^[1-9][0-9]{{5}}$') AS is_pin FROM combo_demog_parsed LEFT JOIN pin ON pin.pin = trim(zip) LEFT JOIN st ON st.pin = trim(zip)), e AS (SELECT *, {s_evidence('state_code', 'state')} AS evidence FROM p)
+SELECT row_id, parsed_at, evidence, round(CAST(greatest(0, least(1, CASE WHEN is_pin THEN 0.18 ELSE 0 END + CASE WHEN is_pin AND pin_city IS NOT NULL THEN 0.07 ELSE 0 END + CASE evidence WHEN 1 THEN 0.15 WHEN -1 THEN -0.12 WHEN 0 THEN 0.05 ELSE 0 END + CASE WHEN coalesce({s_city('city')} = pin_city, false) THEN 0.1 WHEN {_HAS('city')} THEN 0.04 ELSE 0 END
 + CASE WHEN {_HAS('building_name')} THEN 0.22 + CASE WHEN {_HAS('rule')} THEN {s_case(W.RULE_WEIGHT, 'rule', 0.12)} WHEN coalesce(location_matched = 'Yes', false) THEN 0.12 WHEN coalesce({s_norm('building_name')} = {s_norm('locality')}, false) THEN 0.04 ELSE 0.06 END ELSE 0 END
-+ CASE WHEN {_HAS('locality')} THEN {s_case(W.SOURCE_WEIGHT, 'locality_source', 0.05)} ELSE 0 END + CASE WHEN {_HAS('building_number')} THEN 0.04 ELSE 0 END + CASE WHEN {_HAS('landmark')} THEN 0.04 ELSE 0 END)) AS DOUBLE), 3) AS rescored FROM p""")
++ CASE WHEN {_HAS('locality')} THEN {s_case(W.SOURCE_WEIGHT, 'locality_source', 0.05)} ELSE 0 END + CASE WHEN {_HAS('building_number')} THEN 0.04 ELSE 0 END + CASE WHEN {_HAS('landmark')} THEN 0.04 ELSE 0 END)) AS DOUBLE), 3) AS rescored FROM e""")
 def q34_confidence_score(s, d):
-    p = parsed(s, d).withColumn("pin", F.trim("zip")).join(F.broadcast(pin_city(s, d)), "pin", "left")
+    p = parsed(s, d).withColumn("pin", F.trim("zip")).join(F.broadcast(pin_city(s, d)), "pin", "left").join(pin_states(s, d), "pin", "left")  # a pin has six figures
     agrees = T.city_key(F.col("city")) == F.col("pin_city")
-    c = T.confidence(F.col("pin").rlike("^[1-9][0-9]{5}$"), F.col("pin_city").isNotNull(), F.lit(None).cast("int"), agrees, F.col("city"), F.col("building_name"), F.lower(F.trim("dotcom_match_rule")), F.col("location_matched") == "Yes", T.norm_name(F.col("building_name")) == T.norm_name(F.col("locality")), F.col("locality_source"), F.col("locality"), F.col("building_number"), F.col("landmark"))
-    return p.select("row_id", "parsed_at", c.alias("rescored"))
+    p = p.withColumn("evidence", T.state_evidence(F.col("state_code"), F.col("state")))
+    c = T.confidence(F.col("pin").rlike("^[1-9][0-9]{5}$"), F.col("pin_city").isNotNull(), F.col("evidence"), agrees, F.col("city"), F.col("building_name"), F.lower(F.trim("dotcom_match_rule")), F.col("location_matched") == "Yes", T.norm_name(F.col("building_name")) == T.norm_name(F.col("locality")), F.col("locality_source"), F.col("locality"), F.col("building_number"), F.col("landmark"))
+    return p.select("row_id", "parsed_at", "evidence", c.alias("rescored"))
 
 
 _RANK = s_case(W.RULE_RANK, "lower(trim(dotcom_match_rule))", 0)
@@ -438,21 +457,40 @@ def q37_precision_rollup(s, d):
     return S.precision_rollup(p, "r", yes & (F.col("location_matched") == "Yes"), yes & (F.col("location_matched") == "No"))
 
 
-@query("""WITH slots AS (SELECT row_id, parsed_at, unnest([struct_pack(slot := 1, v := building_name), struct_pack(slot := 2, v := locality)]) AS u FROM combo_demog_parsed)
-SELECT row_id, parsed_at, max(CASE WHEN u.slot = 1 THEN length(trim(u.v)) END) AS chars_1, max(CASE WHEN u.slot = 2 THEN length(trim(u.v)) END) AS chars_2, count(*) FILTER (coalesce(length(trim(u.v)) > 0, false)) AS filled FROM slots GROUP BY row_id, parsed_at""")
-def q38_two_slot_pivot(s, d):
-    long = parsed(s, d).select("row_id", "parsed_at", F.posexplode(F.array("building_name", "locality")).alias("slot", "v"))
-    chars = F.length(F.trim("v"))
-    return long.groupBy("row_id", "parsed_at").agg(F.max(F.when(F.col("slot") == 0, chars)).alias("chars_1"), F.max(F.when(F.col("slot") == 1, chars)).alias("chars_2"), F.count_if(F.coalesce(chars > 0, F.lit(False))).alias("filled"))
+_SLOT_1, _SLOT_2 = {"building_name": "building_name", "dotcom_matched": "dotcom_matched", "location_matched": "location_matched", "confidence": "confidence"}, {"building_name": "locality", "dotcom_matched": "location_matched", "location_matched": "dotcom_matched", "confidence": "nullif(confidence, 0.5)"}
+_SLOT_TESTS = {"parsed": "{confidence} IS NOT NULL", "named": "coalesce(length(trim({building_name})) > 0, false)", "matched": "coalesce({dotcom_matched} = 'Yes', false)", "located": "coalesce({location_matched} = 'Yes', false)"}
+
 
+def _slot_sql(name: str, how) -> str:
+    return f"SELECT '{name}' AS slot, count(*) AS rows, " + ", ".join(f"count(*) FILTER ({how(t)}) AS {n}" for n, t in _SLOT_TESTS.items()) + " FROM combo_demog_parsed"
 
-LABEL = r"(?:^|[ ;,.])(?:Pin|PIN) ?:? ([0-9]{6})"
 
+@query(" UNION ALL ".join([_slot_sql("1", lambda t: t.format(**_SLOT_1)), _slot_sql("2", lambda t: t.format(**_SLOT_2)), _slot_sql("either", lambda t: f"({t.format(**_SLOT_1)}) OR ({t.format(**_SLOT_2)})")]))
+def q38_slot_stats(s, d):
+    """The slot counters over the parsed rows, with other columns of them in the place of a second address."""
+    return slot_stats(parsed(s, d).select(*(F.expr(e).alias(f"{c}_{k}") for k, t in ((1, _SLOT_1), (2, _SLOT_2)) for c, e in t.items())))
 
-@query(f"SELECT doc_id, coalesce(nullif(regexp_extract(text, '{LABEL}', 1), ''), pincode) AS pin, nullif(regexp_extract(text, '{LABEL}', 1), '') IS NOT NULL AND coalesce(nullif(regexp_extract(text, '{LABEL}', 1), '') <> pincode, true) AS overridden FROM documents WHERE text IS NOT NULL")
+
+def s_title_building(x: str) -> str:
+    return f"array_to_string(list_transform({s_words(s_squeeze(x))}, lambda w: CASE WHEN lower(w) <> upper(w) AND (w = lower(w) OR w = upper(w)) THEN upper(left(w, 1)) || lower(substr(w, 2)) ELSE w END), ' ')"
+
+
+def s_label(word: str) -> str:
+    x = rf"trim(regexp_extract(address, '(?i)\b{word}\s*(?:name)?\s*[:\-]\s*([^,;|]{{2,60}})', 1))"
+    return f"CASE WHEN length({x}) >= 2 THEN {x} END"
+
+
+@query(rf"""WITH a AS (SELECT row_id, parsed_at, building_name AS bn, dotcom_matched AS dm, address || CASE row_id % 3 WHEN 0 THEN '; Building Name: ' || coalesce(building_name, 'NEW ONE') WHEN 1 THEN '; Society - ' || coalesce(locality, 'OTHER ONE') ELSE '' END AS address FROM combo_demog_parsed WHERE address IS NOT NULL),
+l AS (SELECT *, coalesce({s_label('building')}, {s_label('society')}, {s_label('complex')}) AS label FROM a), n AS (SELECT *, {s_norm('label')} AS x, {s_norm('bn')} AS y FROM l),
+t AS (SELECT *, coalesce((contains(x, y) OR contains(y, x)) AND y <> '', false) AS aligned, coalesce(trim(bn) = '', true) OR length(trim(bn)) <= 2 OR regexp_matches(bn, '(?i)^\s*(wing|plot|flat|room|shop|floor|block)\b') AS weak FROM n),
+k AS (SELECT *, label IS NOT NULL AND (weak OR NOT aligned OR coalesce(dm <> 'Yes', false)) AS takes FROM t)
+SELECT row_id, parsed_at, takes AS relabelled, CASE WHEN takes THEN {s_title_building('label')} ELSE bn END AS building_name, CASE WHEN takes AND dm = 'Yes' AND NOT aligned THEN 'No' ELSE dm END AS dotcom_matched FROM k""")
 def q39_label_override(s, d):
-    labelled = F.nullif(F.regexp_extract("text", LABEL, 1), F.lit(""))
-    return table(s, d, "documents").where("text IS NOT NULL").select("doc_id", F.coalesce(labelled, F.col("pincode")).alias("pin"), (labelled.isNotNull() & F.coalesce(labelled != F.col("pincode"), F.lit(True))).alias("overridden"))
+    """The label override, over the parsed rows with a label written behind two addresses in three."""
+    name = lambda c, other: F.coalesce(F.col(c), F.lit(other))
+    label = F.when(F.col("row_id") % 3 == 0, F.concat(F.lit("; Building Name: "), name("building_name", "NEW ONE"))).when(F.col("row_id") % 3 == 1, F.concat(F.lit("; Society - "), name("locality", "OTHER ONE"))).otherwise("")
+    p = parsed(s, d).where("address IS NOT NULL").withColumn("address", F.concat("address", label))
+    return with_label(p).select("row_id", "parsed_at", "relabelled", "building_name", "dotcom_matched")
 
 
 @query("SELECT kind, lower(trim(v)) AS value, count(*) AS n FROM (SELECT 'projectname' AS kind, projectname AS v FROM dotcom_catalogue UNION ALL SELECT 'city', city FROM dotcom_catalogue UNION ALL SELECT 'sublocation', sublocation FROM dotcom_catalogue) WHERE v IS NOT NULL AND trim(v) <> '' GROUP BY 1, 2")
@@ -501,7 +539,7 @@ def q44_project_match(s, d):
 def q46_parse(s, d):
     """The whole parse of the bureau rows; no SQL, golden cases are tested."""
     districts = table(s, d, "pincodes").where("pin IS NOT NULL AND district IS NOT NULL").groupBy("pin").agg(F.min("district").alias("district"))
-    return parse_addresses(spread(combo(s, d)), _dims(s, d), districts=districts)
+    return parse_addresses(spread(combo(s, d)), _dims(s, d), districts=districts, states=pin_states(s, d))
 
 
 @query()
@@ -510,10 +548,40 @@ def q47_prepare(s, d):
     return prepare(spread(combo(s, d))).select("row_id", "text", "parser_text", "pin", "care_of", "organisation", "landmarks", "segments", "dropped")
 
 
-@query("SELECT row_id, nullif(regexp_extract(upper(address), '\\bNO\\.? *([0-9]+[A-Z]?(?:[/-][0-9]+[A-Z]?)?)\\b', 1), '') AS number, nullif(regexp_extract(" + s_norm("address") + f", '((?:[A-Z0-9]+ ){{1,5}}(?:{W.BUILDING_SUFFIX}))(?: |$)', 1), '') AS building FROM combo_demog WHERE address IS NOT NULL")
+_ENDS = rf"(?:{W.BUILDING_SUFFIX})"
+_GOOD = lambda x: f"CASE WHEN NOT regexp_matches({x}, '[0-9]{{6}}') THEN {x} END"
+_NUMBER = [r"\bNO\.? *([0-9]+[A-Z]?(?:[/-][0-9]+[A-Z]?)?)\b", r"\b(?:FLAT|FLT|HOUSE|PLOT|DOOR|SHOP|APT|APARTMENT|ROOM|UNIT|OFFICE) *(?:NO\.?|NUMBER)? *[:#.-]? *([A-Z]{0,3}[0-9]+[A-Z]?(?:[/-][0-9]+[A-Z]?)?)", r"^([A-Z]{1,3}-?[0-9]+[A-Z]?)(?: |,|$)", r"^([0-9]{1,4}(?:/[0-9]+)?)(?: |,|$)"]
+
+
+def s_one(pattern: str, x: str = "n") -> str:
+    return f"nullif(regexp_extract({x}, '{pattern}', 1), '')"
+
+
+def s_longest(x: str) -> str:
+    return f"list_reduce({x}, lambda a, b: CASE WHEN length(b) > length(a) THEN b ELSE a END, '')"
+
+
+def s_unless(x: str, words) -> str:
+    return f"CASE WHEN NOT list_has_any(string_split({x}, ' '), {s_list(words)}) THEN {x} END"
+
+
+def s_phrases(ends, least: int, most: int) -> str:
+    lead = f"w[greatest(i - {most}, 1):i - 1]"
+    bad = f"coalesce(list_max(list_transform({lead}, lambda x, k: CASE WHEN regexp_matches(x, '^{X.WORD}$') THEN 0 ELSE k END)), 0)"
+    at = f"list_filter(range(1, len(w) + 1), lambda i: list_contains({s_list(ends)}, w[i]))"
+    return f"list_filter(list_transform({at}, lambda i: array_to_string(list_concat(({lead})[{bad} + 1:], w[i:i]), ' ')), lambda x: len(string_split(x, ' ')) > {least})"
+
+
+@query(f"""WITH t AS (SELECT row_id, upper(address) AS a, {s_norm('address')} AS n, {s_words(s_norm('address'))} AS w FROM combo_demog WHERE address IS NOT NULL)
+SELECT row_id, coalesce({', '.join(_GOOD(s_one(p, 'a')) for p in _NUMBER)}) AS number, {s_one(f'((?:[A-Z0-9]+ ){{1,5}}{_ENDS})(?: |$)')} AS by_ending, nullif({s_longest(f"list_filter(w, lambda x: regexp_matches(x, '^{X.WORD}(?:{'|'.join(W.COMPOUND_ENDS)})$'))")}, '') AS compound,
+{s_one(f'(?:^| )(?:NEAR|BEHIND|OPPOSITE|BESIDE|NEXT TO) ((?:{X.WORD} ){{1,4}}{_ENDS})(?: |$)')} AS landmark, {s_one('(?:^| )([A-Z][A-Z0-9]{4,20} LAYOUT)(?: |$)')} AS one_word_layout, {s_unless(s_one(f'((?:{X.WORD} ){{0,3}}{X.WORD}) (?:BLDG|BUILDING)(?: |$)'), W.BUILDING_STOP)} AS before_bldg, {s_one(f'((?:{X.WORD} ){{1,4}}RESIDENCE)(?: |$)')} AS residence,
+nullif({s_longest(f"list_filter({s_phrases(W.SOCIETY_ENDS, 1, 4)}, lambda x: NOT list_has_any(string_split(x, ' '), {s_list(W.BUILDING_STOP)}))")}, '') AS society, {s_phrases(W.ENCLAVE_ENDS, 1, 3)}[1] AS enclave, {s_phrases([e for e in W.AREA_PHRASE_ENDS if ' ' not in e], 0, 3)}[-1] AS area FROM t""")
 def q45_building_extractors(s, d):
-    number = F.nullif(F.regexp_extract(F.upper("address"), r"\bNO\.? *([0-9]+[A-Z]?(?:[/-][0-9]+[A-Z]?)?)\b", 1), F.lit(""))
-    return combo(s, d).where("address IS NOT NULL").select("row_id", number.alias("number"), T.building_by_ending(T.norm_name(F.col("address"))).alias("building"))
+    t = combo(s, d).where("address IS NOT NULL").select("row_id", F.upper("address").alias("a"), T.norm_name(F.col("address")).alias("n"))
+    n, none = F.col("n"), F.lit(None).cast("string")
+    area = T.let(X.phrases_ending(n, [e for e in W.AREA_PHRASE_ENDS if " " not in e], 0, 3), lambda o: F.get(o, F.size(o) - 1))
+    ways = {"number": T.building_number(F.col("a")), "by_ending": T.building_by_ending(n), "compound": X.compound_building(n), "landmark": X.landmark_building(n), "one_word_layout": X.one_word_layout(n, none), "before_bldg": X.before_bldg(n), "residence": X.residence(n), "society": X.society(n, none), "enclave": X.enclave(n, none), "area": area}
+    return t.select("row_id", *(c.alias(k) for k, c in ways.items()))
 
 
 @query(f"WITH a AS (SELECT DISTINCT trim(zip) AS pin FROM combo_demog WHERE zip IS NOT NULL), b AS (SELECT DISTINCT trim(pincode) AS pin FROM pincode_locality_merged WHERE pincode IS NOT NULL) (SELECT pin, 'both' AS held_by FROM (SELECT pin FROM a INTERSECT SELECT pin FROM b)) UNION ALL (SELECT pin, 'rows' FROM (SELECT pin FROM a EXCEPT SELECT pin FROM b)) UNION ALL (SELECT pin, 'list' FROM (SELECT pin FROM b EXCEPT SELECT pin FROM a))")

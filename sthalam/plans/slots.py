@@ -37,9 +37,9 @@ def with_label(parsed: DataFrame, buildings: DataFrame | None = None) -> DataFra
     a, b = T.norm_name(label), T.norm_name(F.col("building_name"))
     aligned = F.coalesce(a.contains(b) | b.contains(a), F.lit(False)) & (b != "")
     takes = label.isNotNull() & (weak_building(F.col("building_name")) | ~aligned | (F.col("dotcom_matched") != "Yes"))
-    d = parsed.withColumn("relabelled", F.coalesce(takes, F.lit(False))).withColumn("building_name", F.when(takes, T.title_building(label)).otherwise(F.col("building_name")))
-    lost = F.col("relabelled") & (F.col("dotcom_matched") == "Yes") & ~aligned
-    d = d.withColumn("__lost", lost).withColumn("dotcom_matched", F.when(F.col("__lost"), "No").otherwise(F.col("dotcom_matched"))).withColumn("dotcom_match_rule", F.when(F.col("__lost"), None).otherwise(F.col("dotcom_match_rule"))).drop("__lost")
+    d = parsed.withColumn("relabelled", F.coalesce(takes, F.lit(False))).withColumn("__lost", F.col("relabelled") & (F.col("dotcom_matched") == "Yes") & ~aligned)
+    d = d.withColumn("building_name", F.when(F.col("relabelled"), T.title_building(label)).otherwise(F.col("building_name")))
+    d = d.withColumn("dotcom_matched", F.when(F.col("__lost"), "No").otherwise(F.col("dotcom_matched"))).withColumn("dotcom_match_rule", F.when(F.col("__lost"), None).otherwise(F.col("dotcom_match_rule"))).drop("__lost")
     if buildings is None:
         return d
     known = buildings.select(F.col("name").alias("__n")).distinct().withColumn("__osm", F.lit(True))
