@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 #: Radius of the sphere in kilometres (fixed value).
 EARTH_KM = 6371.0
-#: Places in the sample that the partitions are cut by, at most.
-SPLIT_SAMPLE = 16_384
+#: Places in the sample that the partitions are cut by: about so many, more where there are many partitions (SAMPLE_PER_LEAF for each), MOST_SAMPLED at most.
+SPLIT_SAMPLE, SAMPLE_PER_LEAF, MOST_SAMPLED = 16_384, 4, 2_000_000
 #: Distinct places that a partition is meant to hold.
 LEAF_PLACES = 4_096
 #: Places in a leaf of a partition's own tree.
@@ -170,8 +170,11 @@ def pairs_within(points: DataFrame, km: float, *, key: str = "point_id", lat: st
     places = p.select("lat", "lon").distinct()
     #: (a sum over all places, and the sample, in one job each; both results are bounded)
     n = places.count()
-    sample = places.orderBy(F.xxhash64("lat", "lon"), "lat", "lon").limit(SPLIT_SAMPLE).toPandas() if n > LEAF_PLACES else pd.DataFrame({"lat": [], "lon": []})
-    tree = SplitTree(unit_vectors(sample["lat"].to_numpy(float), sample["lon"].to_numpy(float)), -(-n // LEAF_PLACES))
+    leaves = -(-n // LEAF_PLACES)
+    wanted = min(max(SPLIT_SAMPLE, SAMPLE_PER_LEAF * leaves), MOST_SAMPLED)
+    drawn = places.where(F.pmod(F.xxhash64("lat", "lon"), F.lit(2**32)) < int(min(1.0, wanted / max(n, 1)) * 2**32))
+    sample = drawn.toPandas().sort_values(["lat", "lon"]) if leaves > 1 else pd.DataFrame({"lat": [], "lon": []})
+    tree = SplitTree(unit_vectors(sample["lat"].to_numpy(float), sample["lon"].to_numpy(float)), leaves)
     reach = 2 * np.sin(min(km / EARTH_KM, np.pi) / 2) * (1 + 1e-9) + 1e-12
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,9 +183,9 @@ def pairs_within(points: DataFrame, km: float, *, key: str = "point_id", lat: st
             row, leaf, home = tree.place(unit_vectors(la, lo), reach)
             yield pd.DataFrame({"leaf": leaf, "home": home, "lat": la[row], "lon": lo[row]})
 
-    def local(t: pd.DataFrame) -> pd.DataFrame:
+    def within(t: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """The pairs of one leaf, a chunk at a time."""
         la, lo, home = t["lat"].to_numpy(), t["lon"].to_numpy(), t["home"].to_numpy()
-        out = []
         for i, j in close_pairs(unit_vectors(la, lo), reach):
             swap = (la[i] > la[j]) | ((la[i] == la[j]) & (lo[i] > lo[j]))
             i, j = np.where(swap, j, i), np.where(swap, i, j)
@@ -190,10 +193,25 @@ def pairs_within(points: DataFrame, km: float, *, key: str = "point_id", lat: st
             d = great_circle_km(la[i], lo[i], la[j], lo[j])
             ok = d <= km
             i, j = i[ok], j[ok]
-            out.append(pd.DataFrame({"lat_a": la[i], "lon_a": lo[i], "lat_b": la[j], "lon_b": lo[j], "km": d[ok]}))
-        return pd.concat(out) if out else pd.DataFrame({c: np.zeros(0) for c in ("lat_a", "lon_a", "lat_b", "lon_b", "km")})
+            yield pd.DataFrame({"lat_a": la[i], "lon_a": lo[i], "lat_b": la[j], "lon_b": lo[j], "km": d[ok]})
 
-    near = places.mapInPandas(spread, "leaf bigint, home boolean, lat double, lon double").groupBy("leaf").applyInPandas(local, "lat_a double, lon_a double, lat_b double, lon_b double, km double")
+    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The pairs of each leaf in turn; a partition's rows come sorted by leaf, so only one leaf's places are held."""
+        held: list[pd.DataFrame] = []
+        for t in batches:
+            cuts = np.flatnonzero(np.diff(t["leaf"].to_numpy())) + 1
+            for k, part in enumerate(np.split(np.arange(len(t)), cuts)):
+                rows = t.iloc[part]
+                if held and (k or held[-1]["leaf"].iloc[0] != rows["leaf"].iloc[0]):
+                    yield from within(pd.concat(held))
+                    held = []
+                if len(rows):
+                    held.append(rows)
+        if held:
+            yield from within(pd.concat(held))
+
+    parts = places.mapInPandas(spread, "leaf bigint, home boolean, lat double, lon double").repartition("leaf").sortWithinPartitions("leaf")
+    near = parts.mapInPandas(local, "lat_a double, lon_a double, lat_b double, lon_b double, km double")
     pa = p.select(F.col("k").alias("ka"), F.col("lat").alias("lat_a"), F.col("lon").alias("lon_a"))
     pb = p.select(F.col("k").alias("kb"), F.col("lat").alias("lat_b"), F.col("lon").alias("lon_b"))
     apart = near.join(pa, ["lat_a", "lon_a"]).join(pb, ["lat_b", "lon_b"]).where("ka <> kb")
