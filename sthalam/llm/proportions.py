@@ -44,7 +44,7 @@ class Proportioned:
     Targets are a fixed small list: they are collected, more than MAX_TARGETS of them are refused.
     """
 
-    MAX_TARGETS = 10_000
+    MAX_TARGETS = 1_000
 
     def __init__(self, rows: DataFrame, targets: DataFrame, fraction: tuple[int, int] = (1, 10), key: str = "row_id", seed: int = SEED):
         self.key, self.seed = key, seed
@@ -69,7 +69,7 @@ class Proportioned:
         """(`key`, category, weight): the selected rows; the weight is one over the inclusion probability."""
         share = F.least(F.lit(1.0), F.col("needed") / F.col("available"))
         cells = self.counts.join(F.broadcast(self.targets), "category").withColumn("available", F.sum("count").over(Window.partitionBy("category")))
-        # one row for each category and bucket: a bounded table, whatever the number of rows
+        # one row for each target and bucket, MAX_TARGETS x BUCKETS at most: a bounded table, whatever the number of rows
         upto = Window.orderBy("category", "bucket").rowsBetween(Window.unboundedPreceding, -1)
         within = Window.partitionBy("category").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         cells = cells.withColumn("p", share).withColumn("sum_before", F.coalesce(F.sum(F.col("p") * F.col("count")).over(upto), F.lit(0.0))).withColumn("rank_before", F.coalesce(F.sum("count").over(within), F.lit(0)))
