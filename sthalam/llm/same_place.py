@@ -68,12 +68,16 @@ def settled_parts(rows: DataFrame, g: Gazetteer, key: str = "row_id") -> DataFra
     return named.withColumn("city", F.when(F.col("changed"), F.col("new_city")).otherwise(F.col("city"))).withColumn("name", F.coalesce("canonical", "name")).drop("own", "sure", "new_city", "canonical", "changed")
 
 
-def _weighed(sets: DataFrame, every: DataFrame) -> DataFrame:
-    """`sets` with w_place and a w_ column for each of PARTS_OF_LISTS: how rare each token is among all distinct sets `every`."""
-    total = every.count()
-    rarity = lambda n: F.log((F.lit(total) + 1.0) / n) + 0.1
+def _rarities(sets: DataFrame) -> tuple[int, DataFrame]:
+    """How many distinct sets there are, and (part, value, n) of the values of PARTS_OF_LISTS among them."""
     values = F.explode(F.array(*(F.struct(F.lit(c).alias("part"), F.col(c).alias("value")) for c in PARTS_OF_LISTS))).alias("t")
-    often = cut_lineage(every.select(values).select("t.part", "t.value").where("value <> ''").groupBy("part", "value").agg(F.count("*").alias("n")))
+    return sets.count(), cut_lineage(sets.select(values).select("t.part", "t.value").where("value <> ''").groupBy("part", "value").agg(F.count("*").alias("n")))
+
+
+def _weighed(sets: DataFrame, rarities: tuple[int, DataFrame]) -> DataFrame:
+    """`sets` with w_place and a w_ column for each of PARTS_OF_LISTS: how rare each token is among all distinct sets."""
+    total, often = rarities
+    rarity = lambda n: F.log((F.lit(total) + 1.0) / n) + 0.1
     for c in PARTS_OF_LISTS:
         own = often.where(F.col("part") == c).select(F.col("value").alias(c), rarity(F.col("n")).alias(f"w_{c}"))
         sets = sets.join(own, c, "left")
@@ -113,15 +117,17 @@ def door_links(rows: DataFrame, g: Gazetteer, *, key: str = "row_id") -> tuple[D
     Copies of a text are one set of the join. Other columns aren't read; an empty table gives empty ones.
     """
     p = settled_parts(rows, g, key).where("door IS NOT NULL")
+    p = cut_lineage(p.select(F.col(key).alias("k"), *ATTRIBUTES))
+    # a form's id follows from its parts, so it isn't shuffled beside them
     form = F.unhex(F.md5(F.concat_ws("\u0001", *(F.coalesce(F.col(c), F.lit("\u0002")) for c in ATTRIBUTES))))
-    p = cut_lineage(p.select(F.col(key).alias("k"), form.alias("form"), *ATTRIBUTES))
-    members = p.groupBy("k").agg(F.min("form").alias("form"))
-    sets = cut_lineage(p.select("form", *ATTRIBUTES).distinct())
+    members = p.groupBy("k").agg(F.min(form).alias("form"))
+    sets = cut_lineage(p.select(*ATTRIBUTES).distinct())
+    rarity = _rarities(sets)
 
     # only sets that share their door and name with another one, or have no name, can be linked
     place = Window.partitionBy("door", "family", "name")
     near = sets.where("name IS NOT NULL").withColumn("at_place", F.count("*").over(place)).where("at_place > 1")
-    near = cut_lineage(_weighed(near, sets))
+    near = cut_lineage(_weighed(near.withColumn("form", form), rarity))
     columns = ["form", "tokens", *PARTS_OF_LISTS, *(f"w_{c}" for c in ("place", *PARTS_OF_LISTS))]
     counted = sum((F.when(F.coalesce(F.col(c), F.lit("")) != "", 1).otherwise(0) for c in PARTS_OF_LISTS), F.lit(1))
     near = near.withColumn("tokens", counted).withColumn("with_city", F.coalesce("city", F.lit("")))
@@ -140,11 +146,12 @@ def door_links(rows: DataFrame, g: Gazetteer, *, key: str = "row_id") -> tuple[D
 
     nameless = sets.where("name IS NULL AND (locality IS NOT NULL OR pin IS NOT NULL)")
     if not nameless.isEmpty():
-        links = links.unionByName(_nameless_links(sets, cut_lineage(nameless)))
+        links = links.unionByName(_nameless_links(sets.withColumn("form", form), cut_lineage(nameless.withColumn("form", form)), rarity))
+    links = cut_lineage(links)
     return members.withColumnRenamed("k", key), links
 
 
-def _nameless_links(sets: DataFrame, nameless: DataFrame) -> DataFrame:
+def _nameless_links(sets: DataFrame, nameless: DataFrame, rarities: tuple[int, DataFrame]) -> DataFrame:
     """(form_a, form_b, containment) of the sets without a name and the fuller ones with a name that contain them."""
     at = F.explode(F.array_compact(F.array(F.concat(F.lit("l:"), "door", F.lit("|"), "locality"), F.concat(F.lit("p:"), "door", F.lit("|"), "pin")))).alias("token")
     asked = nameless.select("form", at)
@@ -152,7 +159,10 @@ def _nameless_links(sets: DataFrame, nameless: DataFrame) -> DataFrame:
     often = probe.groupBy("token").agg(F.count("*").alias("n"))
     rarest = asked.join(often, "token").groupBy("form").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
     met = rarest.select(F.col("form").alias("form_a"), "token").join(probe.withColumnRenamed("form", "form_b"), "token").select("form_a", "form_b")
-    sided = lambda s: _weighed(sets.withColumn("at_place", F.lit(1)), sets).select(*(F.col(c).alias(f"{c}_{s}") for c in ("form", *ATTRIBUTES, "w_place", *(f"w_{x}" for x in PARTS_OF_LISTS))))
+    met = cut_lineage(met)
+    some = met.select(F.col("form_a").alias("form")).unionByName(met.select(F.col("form_b").alias("form"))).distinct()
+    some = cut_lineage(_weighed(sets.join(some, "form", "left_semi").withColumn("at_place", F.lit(1)), rarities))
+    sided = lambda s: some.select(*(F.col(c).alias(f"{c}_{s}") for c in ("form", *ATTRIBUTES, "w_place", *(f"w_{x}" for x in PARTS_OF_LISTS))))
     met = met.join(sided("a"), "form_a").join(sided("b"), "form_b").where(agree("locality") & agree("city") & agree("brand") & agree("phase"))
     met = met.where(((F.col("wing_a") == "") | (F.col("wing_a") == F.col("wing_b"))) & (F.col("family_a").isNull() | (F.col("family_a") == F.col("family_b"))))
     met = met.withColumn("containment", _containment()).where(F.col("containment") >= CONTAINED)
@@ -169,6 +179,7 @@ def same_doors(rows: DataFrame, g: Gazetteer, *, key: str = "row_id") -> DataFra
     members, links = door_links(rows, g, key=key)
     members = cut_lineage(members)
     a, b = members.select(F.col(key).alias("ka"), F.col("form").alias("form_a")), members.select(F.col(key).alias("kb"), F.col("form").alias("form_b"))
-    across = links.join(a, "form_a").join(b, "form_b").select("ka", "kb", "containment")
+    # the links are few beside the rows: written, their size is known, and while it is small the rows needn't be shuffled to meet them
+    across = cut_lineage(links.join(a, "form_a").select("ka", "form_b", "containment")).join(b, "form_b").select("ka", "kb", "containment")
     within = a.join(b, F.col("form_a") == F.col("form_b")).where("ka < kb").select("ka", "kb", F.lit(1.0).alias("containment"))
     return across.unionByName(within).select(F.least("ka", "kb").alias(f"{key}_a"), F.greatest("ka", "kb").alias(f"{key}_b"), "containment")
