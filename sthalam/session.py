@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _LOCAL: dict[str, str] = {}
+_ENDING: set[str] = set()
 
 
 def build_session(app: str = "sthalam", master: str | None = None, **conf: str) -> SparkSession:
@@ -53,10 +54,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Compressed columns take less room than a checkpoint's rows, later steps read only the columns they need, and the planner knows
     the table's size, so that it broadcasts by measured bytes and not by guess. Each run's tables are in a folder of the application's id,
-    which may go when the run has ended.
+    which goes when the driver ends.
     """
     spark = df.sparkSession
-    at = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    run = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    if run not in _ENDING:
+        path = spark._jvm.org.apache.hadoop.fs.Path(run)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(path)  # what isn't there yet isn't taken note of
+        system.deleteOnExit(path)
+        _ENDING.add(run)
+    at = f"{run}/{uuid.uuid4().hex}"
     df.write.parquet(at)
     return spark.read.schema(df.schema).parquet(at)
 
