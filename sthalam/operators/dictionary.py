@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sthalam.functions import words as W
 from sthalam.functions.text import tokens
 from sthalam.operators import matching as M
+from sthalam.session import cut_lineage
 
 
 def letters(c: Column) -> Column:
@@ -35,16 +38,81 @@ def branded(names: DataFrame, least: int = 1) -> DataFrame:
     return names.withColumn("brand", first).where((F.length("brand") >= least) & ~F.col("brand").isin(W.BRAND_STOP))
 
 
+#: Share of the names above which a word counts as common: it comes last among the words that a name is looked up by. There are few such words.
+COMMON_SHARE = 0.005
+
+
+@F.pandas_udf(StructType([StructField(c, LongType()) for c in ("letters", "more", "twos")]))
+def _profile(words: pd.Series) -> pd.DataFrame:
+    """Bits of a row of words: which letters and figures it has, letters also twice (letters) or three and four times (more), and which pairs of neighbours, blanks
+    too (twos). A letter that comes or goes changes one bit of the first two together at most, and three of the last."""
+
+    def one(x: str) -> tuple[int, int, int]:
+        a = b = c = 0
+        for ch in set(x):
+            n, k = x.count(ch), ord(ch)
+            if 65 <= k <= 90:
+                a |= (1 if n == 1 else 3) << 2 * (k - 65)
+                b |= (0 if n < 3 else 1 if n == 3 else 3) << 2 * (k - 65)
+            elif 48 <= k <= 57:
+                a |= 1 << (52 + k - 48)
+        padded = f" {x} "
+        for p, q in zip(padded, padded[1:], strict=False):
+            c |= 1 << (ord(p) * 31 + ord(q)) % 63
+        return a, b, c
+
+    return pd.DataFrame([one(x) for x in words], columns=["letters", "more", "twos"], dtype="int64")
+
+
+def _told(texts: DataFrame, text: str, common: list[str], cover: float) -> DataFrame:
+    """`texts` (…, brand, `text`) with other (their words but the brand, each once), told (their length as a row of words), profile and keys: those of `other`, of which
+    whatever holds `cover` of the letters and shares the brand must hold one; an empty one where the brand alone may be enough."""
+    each = F.array_distinct(tokens(F.col(text)))
+    other = F.array_remove(each, F.col("brand"))
+    rare = F.transform(other, lambda w: F.struct(w.isin(common).alias("common"), (-F.length(w)).alias("l"), w.alias("w")))
+    d = texts.withColumn("other", F.transform(F.sort_array(rare), lambda x: x["w"])).withColumn("told", F.length(F.array_join(each, " ")))
+    rest = lambda i: F.length("brand") + F.aggregate(F.slice("other", i + 1, F.size("other") + 1), F.lit(0), lambda n, w: n + F.length(w) + 1)
+    enough = lambda n: n >= F.col("told") * cover - 1e-6
+    keys = F.filter("other", lambda w, i: enough(rest(i)))
+    keys = F.when(enough(F.length("brand")), F.array(F.lit(""))).otherwise(keys)
+    return d.withColumn("keys", keys).withColumn("profile", _profile(F.array_join(each, " ")))
+
+
+def token_set_pairs(runs: DataFrame, names: DataFrame, on: list[str], cutoff: float) -> DataFrame:
+    """(`on`…, a, b) of `runs` (`on`…, a) and `names` (`on`…, b), both each once: all pairs that may score `cutoff` or more by token set, and few others. `on` holds brand, the first word of both.
+
+    Such a pair has, of one side's letters, so large a share in common words that one of that side's keys is among them (an equi-join on rare words); or
+    all its words are near as they stand: then the lengths differ by few letters (an equi-join on the length), and so do the letters and pairs of letters, which are counted as bits before a pair goes on.
+    """
+    spare = 1 - cutoff / 100
+    cover = cutoff / (200 - cutoff)
+    words = names.select("b", F.explode(F.array_distinct(tokens(F.col("b")))).alias("w"))
+    often = words.groupBy("w").count().where(F.col("count") >= F.greatest(F.lit(2.0), F.lit(COMMON_SHARE * names.count())))
+    common = [r["w"] for r in often.collect()]
+    x, y = cut_lineage(_told(runs, "a", common, cover)), cut_lineage(_told(names, "b", common, cover))
+    at = lambda d, c, words: d.select(*on, c, F.explode(words).alias("word"))
+    any_word = F.concat("other", F.array(F.lit("")))
+    shared = at(x, "a", "keys").join(at(y, "b", any_word), [*on, "word"]).select(*on, "a", "b").unionByName(at(x, "a", any_word).join(at(y, "b", "keys"), [*on, "word"]).select(*on, "a", "b"))
+    side = lambda d, c, s: (*on, c, F.col("told").alias(f"told_{s}"), *(F.col(f"profile.{p}").alias(f"{p}_{s}") for p in ("letters", "more", "twos")))
+    # |told_a - told_b| <= spare (told_a + told_b), solved for the run's length
+    ways = F.sequence(F.ceil(F.col("told") * (1 - spare) / (1 + spare) - 1e-6).cast("int"), F.floor(F.col("told") * (1 + spare) / (1 - spare) + 1e-6).cast("int"))
+    near = x.select(*side(x, "a", "a")).join(y.select(*side(y, "b", "b"), F.explode(ways).alias("told_a")), [*on, "told_a"])
+    most = (F.col("told_a") + F.col("told_b")) * spare + 1e-6
+    differ = lambda c: F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
+    near = near.where((differ("letters") + differ("more") <= most) & (differ("twos") <= 3 * most)).select(*on, "a", "b")
+    return shared.unionByName(near).distinct()
+
+
 def fuzzy_names(texts: DataFrame, names: DataFrame, *, scope: tuple[str, ...] = (), cutoff: float = 88.0, words: tuple[int, int] = (2, 8), chars: int = 6, brand_letters: int = 1, shared_word: int = 0) -> DataFrame:
     """(id, name, score): the name that scores best, `cutoff` or more by token set, with a run of words of `texts` (id, `scope`…, text) that begins with its first word.
 
     Runs of `words` words and `chars` letters or more; of equal scores the later run, then the longer. With `shared_word`, run and name must have a word of so many letters
-    in common. Runs are made distinct before they are scored, so a text delivered over and over is scored once.
+    in common. Runs are made distinct before they are scored, so a text delivered over and over is scored once, and with the names that `token_set_pairs` leaves.
     """
     n = branded(names.select(*scope, "name").distinct(), brand_letters)
     runs = M.word_runs(texts, "id", F.col("text"), *words, scope, n.select(*scope, F.col("brand").alias("word")).distinct()).where(F.length("run") >= chars)
-    runs = runs.withColumn("brand", F.get(tokens(F.col("run")), F.lit(0)))
-    pairs = runs.select(*scope, "brand", F.col("run").alias("a")).distinct().join(n.withColumnRenamed("name", "b"), [*scope, "brand"])
+    runs = cut_lineage(runs.withColumn("brand", F.get(tokens(F.col("run")), F.lit(0))))
+    pairs = token_set_pairs(runs.select(*scope, "brand", F.col("run").alias("a")).distinct(), cut_lineage(n.withColumnRenamed("name", "b")), [*scope, "brand"], cutoff)
     if shared_word:
         long = lambda c: F.filter(tokens(F.col(c)), lambda w: F.length(w) >= shared_word)
         pairs = pairs.where(F.arrays_overlap(long("a"), long("b")))
@@ -58,11 +126,11 @@ def known_names(texts: DataFrame, names: DataFrame, *, scope: tuple[str, ...] =
     """(id, name, how): the project that each of `texts` (id, `scope`…, text) names: the longest exact run of words, else (`exact` too) the longest
     name of ten letters or more whose letters stand anywhere in the text with its first word a word of its own, else (`fuzzy`) the best by token set at 88."""
     n = names.select(*scope, "name").distinct()
-    exact = M.longest_match(texts, "id", F.col("text"), n, scope=scope, most=max(2, longest_name(n))).select("id", "name")
-    left = texts.join(exact, "id", "left_anti")
+    exact = cut_lineage(M.longest_match(texts, "id", F.col("text"), n, scope=scope, most=max(2, longest_name(n))).select("id", "name"))
+    left = cut_lineage(texts.join(exact, "id", "left_anti"))
     inside = M.contained_names(left, "id", letters(F.col("text")), n, scope=scope).join(left.select("id", "text"), "id")
     inside = inside.where(F.array_contains(tokens(F.col("text")), F.get(tokens(F.col("name")), F.lit(0))))
-    glued = inside.groupBy("id").agg(F.max(F.struct(F.length("name").alias("l"), "name")).alias("t")).select("id", "t.name")
+    glued = cut_lineage(inside.groupBy("id").agg(F.max(F.struct(F.length("name").alias("l"), "name")).alias("t")).select("id", "t.name"))
     found = exact.unionByName(glued).withColumn("how", F.lit("exact"))
     if not allow_fuzzy:
         return found

@@ -36,6 +36,23 @@ def test_fuzzy_names_are_exact(spark):
     assert D.fuzzy_names(t.limit(0), n).count() == 0 and D.fuzzy_names(t, n.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("cutoff", [75.0, 88.0])
+def test_token_set_pairs_lose_none_and_leave_most_out(spark, cutoff):
+    r = random.Random(int(cutoff))
+    word = lambda n: "".join(r.choice("KLMNPRSTV") + r.choice("AEIU") for _ in range(n))
+    slip = lambda w: w[: (k := r.randrange(len(w)))] + r.choice(["", "A", w[k] * 2]) + w[k + 1 :]
+    brands = ["HAVENOR", "BRINDALE", "LO"]
+    names = {b if k % 40 == 0 else f"{b} {word(r.choice([2, 4, 6]))}" + r.choice(["", "", " ENCLAVE", " PHASE I", " PHASE 2", f" {b}"]) for k in range(300) for b in brands}
+    runs = set(brands)
+    for n in sorted(names):
+        w = n.split()
+        runs |= {n, " ".join([w[0], *map(slip, w[1:])]), " ".join([*w, word(1), word(3)]), " ".join([w[0], *w[:0:-1]]), " ".join(w[:2])}
+    both = lambda xs, c: spark.createDataFrame(sorted((x.split()[0], x) for x in xs), f"brand string, {c} string")
+    got = {(x["a"], x["b"]) for x in D.token_set_pairs(both(runs, "a"), both(names, "b"), ["brand"], cutoff).collect()}
+    every = [(a, b) for a in runs for b in names if a.split()[0] == b.split()[0]]
+    assert {p for p in every if M.token_set_ratio(*p) >= cutoff} <= got <= set(every) and len(got) < len(every) / (2 if cutoff < 80 else 4)
+
+
 def test_known_names_by_the_first_way(spark):
     t = spark.createDataFrame([(1, "12 ROSE VALLEY HEIGHTS PUNE"), (2, "LOTUS NO 9 LOTUSPOND"), (3, "ROSE VALLEY HIGHTS"), (4, "NOTHING HERE"), (5, "ROSEVALLEYHEIGHTS OF ROSE")], "id int, text string")
     n = spark.createDataFrame([(x,) for x in [*NAMES, "LOTUS POND TOWERS"]], "name string")
