@@ -115,7 +115,8 @@ def fuzzy_names(texts: DataFrame, names: DataFrame, *, scope: tuple[str, ...] =
     pairs = token_set_pairs(runs.select(*scope, "brand", F.col("run").alias("a")).distinct(), cut_lineage(n.withColumnRenamed("name", "b")), [*scope, "brand"], cutoff)
     if shared_word:
         long = lambda c: F.filter(tokens(F.col(c)), lambda w: F.length(w) >= shared_word)
-        pairs = pairs.where(F.arrays_overlap(long("a"), long("b")))
+        # the first word is in common; only where it is short the others are looked at
+        pairs = pairs.where((F.length("brand") >= shared_word) | F.arrays_overlap(long("a"), long("b")))
     scored = M.scored_pairs(pairs, "token_set").where(F.col("score") >= cutoff)
     best = scored.groupBy(*scope, F.col("a").alias("run")).agg(F.max(F.struct("score", "b")).alias("t"))
     hits = runs.join(best, [*scope, "run"])
