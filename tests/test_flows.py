@@ -111,3 +111,23 @@ def test_streams(spark, tmp_path):
     q = live.running_counts(spark.readStream.schema("ts timestamp, event_type string").parquet(ev)).writeStream.outputMode("complete").format("memory").queryName("counts").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("counts").first()["n"] == 2
+
+
+def test_a_written_table_is_sent_by_the_size_of_its_rows(spark):
+    from pyspark.sql import functions as F
+
+    from sthalam import session as S
+
+    settings = lambda: [spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")]
+    plan = lambda d: d._jdf.queryExecution().sparkPlan().toString()
+    large, small = (S.cut_lineage(spark.range(n).select("id", F.concat(F.lit("the same long words "), F.col("id") % 7).alias("x"))) for n in (600_000, 100))
+    joined = lambda right: large.select("id").join(right, "id")
+    before = settings()
+    assert "BroadcastHashJoin" in plan(joined(large))  # some 70 MB of rows in files of less than 10 MB
+    with S.sent_by_rows(spark):
+        assert "BroadcastHashJoin" not in plan(joined(large)) and "BroadcastHashJoin" in plan(joined(small))
+    assert settings() == before
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    with S.sent_by_rows(spark):
+        assert "BroadcastHashJoin" not in plan(joined(small))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
