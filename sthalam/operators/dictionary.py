@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from sthalam.functions import words as W
 from sthalam.functions.text import tokens
@@ -42,28 +40,6 @@ def branded(names: DataFrame, least: int = 1) -> DataFrame:
 COMMON_SHARE = 0.005
 
 
-@F.pandas_udf(StructType([StructField(c, LongType()) for c in ("letters", "more", "twos")]))
-def _profile(words: pd.Series) -> pd.DataFrame:
-    """Bits of a row of words: which letters and figures it has, letters also twice (letters) or three and four times (more), and which pairs of neighbours, blanks
-    too (twos). A letter that comes or goes changes one bit of the first two together at most, and three of the last."""
-
-    def one(x: str) -> tuple[int, int, int]:
-        a = b = c = 0
-        for ch in set(x):
-            n, k = x.count(ch), ord(ch)
-            if 65 <= k <= 90:
-                a |= (1 if n == 1 else 3) << 2 * (k - 65)
-                b |= (0 if n < 3 else 1 if n == 3 else 3) << 2 * (k - 65)
-            elif 48 <= k <= 57:
-                a |= 1 << (52 + k - 48)
-        padded = f" {x} "
-        for p, q in zip(padded, padded[1:], strict=False):
-            c |= 1 << (ord(p) * 31 + ord(q)) % 63
-        return a, b, c
-
-    return pd.DataFrame([one(x) for x in words], columns=["letters", "more", "twos"], dtype="int64")
-
-
 def _told(texts: DataFrame, text: str, common: list[str], cover: float) -> DataFrame:
     """`texts` (…, brand, `text`) with other (their words but the brand, each once), told (their length as a row of words), profile and keys: those of `other`, of which
     whatever holds `cover` of the letters and shares the brand must hold one; an empty one where the brand alone may be enough."""
@@ -75,7 +51,7 @@ def _told(texts: DataFrame, text: str, common: list[str], cover: float) -> DataF
     enough = lambda n: n >= F.col("told") * cover - 1e-6
     keys = F.filter("other", lambda w, i: enough(rest(i)))
     keys = F.when(enough(F.length("brand")), F.array(F.lit(""))).otherwise(keys)
-    return d.withColumn("keys", keys).withColumn("profile", _profile(F.array_join(each, " ")))
+    return d.withColumn("keys", keys).withColumn("profile", M.profile(F.array_join(each, " ")))
 
 
 def token_set_pairs(runs: DataFrame, names: DataFrame, on: list[str], cutoff: float) -> DataFrame:

@@ -105,13 +105,13 @@ def candidates(a: DataFrame, dims: Dimensions) -> DataFrame:
     letters = F.regexp_replace("text", " ", "")
     inside = cut_lineage(M.contained_names(base, "id", letters, dims.names, scope=("city_key",)))
     brand = dims.names.withColumn("brand", F.get(T.tokens(F.col("name")), F.lit(0))).where(~F.col("brand").isin(W.BRAND_STOP))
-    words = base.select("id", "city_key", F.explode(F.array_distinct(T.tokens(F.col("text")))).alias("brand"))
-    collapsed = inside.join(brand, ["city_key", "name"]).join(words, ["id", "city_key", "brand"])
+    collapsed = inside.join(brand, ["city_key", "name"]).join(base.select("id", "text"), "id").where(F.array_contains(T.tokens(F.col("text")), F.col("brand")))
     glued = inside.where(F.length(F.regexp_replace("name", " ", "")) >= 12)
     n_words = lambda c: F.size(T.tokens(F.col(c)))
-    windows = runs.where("size BETWEEN 2 AND 6").withColumn("brand", F.get(T.tokens(F.col("run")), F.lit(0)))
+    windows = runs.where("size BETWEEN 2 AND 6").withColumn("brand", F.substring_index("run", " ", 1))
     pool = brand.where(n_words("name") >= 2)
-    near = M.fuzzy_pairs(windows.withColumnRenamed("run", "a"), pool.withColumnRenamed("name", "b"), ["city_key", "brand"], 92.0).where(F.abs(F.size(T.tokens(F.col("b"))) - F.col("size")) <= 1)
+    near = M.near_pairs(windows.select("city_key", "brand", F.col("run").alias("a")), pool.select("city_key", "brand", F.col("name").alias("b")), ["city_key", "brand"], 92.0)
+    near = windows.join(near.where(F.abs(n_words("b") - n_words("a")) <= 1).withColumn("run", F.col("a")), ["city_key", "brand", "run"])
     figures = lambda c: F.regexp_extract_all(c, F.lit("[0-9]+"), F.lit(0))
     strong = (F.col("score") >= 93) & (figures(F.col("a")) == figures(F.col("b")))
     fuzzy = near.select("id", "city_key", F.col("b").alias("name"), F.when(strong, "fuzzy_strong").otherwise("fuzzy").alias("kind"), F.col("a").alias("span"))

@@ -86,3 +86,35 @@ def test_nested_hits_and_cascade(spark):
     c = spark.createDataFrame([(None, " ", "z"), ("x", "y", None), (None, None, None)], "a string, b string, c string")
     got = [tuple(r["v"]) for r in c.select(M.first_known(a=F.col("a"), b=F.col("b"), c=F.col("c")).alias("v")).collect()]
     assert got == [("z", "c"), ("x", "a"), (None, None)]
+
+
+def test_near_pairs_are_those_of_all_pairs(spark):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("BDKLMN") + r.choice("AEIOU") for _ in range(r.randrange(1, 7)))
+    names = [f"ZENARA {word()} {r.choice(['TOWERS', 'HEIGHTS', 'PHASE 2', 'É', ''])}".strip() for _ in range(150)]
+
+    def slipped(x: str) -> str:
+        for _ in range(r.randrange(4)):
+            i = r.randrange(7, len(x) + 1)
+            x = x[:i] + r.choice(["", "A", "K", " ", "2", "É"]) + x[i + r.randrange(2) :]
+        return x
+
+    runs = [slipped(x) for x in names for _ in range(3)] + ["", "ZENARA"]
+    both = [("a", x) for x in runs] + [("b", x) for x in runs[:50]]
+    left, right = spark.createDataFrame(both, "k string, a string"), spark.createDataFrame([(k, x) for k in "ac" for x in [*names, ""]], "k string, b string")
+    for cutoff in (92.0, 80.0):
+        got = [(x["k"], x["a"], x["b"], x["score"]) for x in M.near_pairs(left, right, ["k"], cutoff).collect()]
+        want = {("a", a, b, M.indel_ratio(a, b)) for a in runs for b in [*names, ""] if M.indel_ratio(a, b) >= cutoff}
+        assert set(got) == want and len(got) == len(want) > 300
+
+
+def test_project_names_are_not_compared_with_every_run_of_their_brand(spark, monkeypatch):
+    from sthalam.plans import project_match as P
+
+    names = spark.createDataFrame([("velmora", "ZENARA KIMALO TOWERS"), ("velmora", "ZENARA KIMALA TOWERS"), ("velmora", "ZENARA DUBENI")], "city_key string, name string")
+    dims = P.Dimensions(*[None] * 9)
+    dims.names, dims.fragments = names, spark.createDataFrame([], "city_key string, run string, name string")
+    a = spark.createDataFrame([(1, "velmora", "NO 4 ZENARA KIMALOO TOWERS LAKE ROAD", None), (2, "other", "ZENARA KIMALOO TOWERS", None)], "id int, city_key string, text string, building string")
+    monkeypatch.setattr(M, "fuzzy_pairs", lambda *x, **k: pytest.fail("all pairs of a brand are compared"))
+    got = {(x["id"], x["name"], x["kind"], x["span"]) for x in P.candidates(a, dims).collect()}
+    assert got == {(1, "ZENARA KIMALO TOWERS", "fuzzy_strong", "ZENARA KIMALOO TOWERS"), (1, "ZENARA KIMALA TOWERS", "fuzzy", "ZENARA KIMALOO TOWERS")}
