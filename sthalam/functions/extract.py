@@ -60,10 +60,10 @@ def same_place(name: Column, locality: Column) -> Column:
 def trimmed_building(name: Column) -> Column:
     """A building's name from after the last street word or unit number before it, up to its ending; null where that is no name."""
     n = F.regexp_replace(T.norm_name(name), r"^(?:(?:FLAT|HOUSE|UNIT|DOOR|PLOT|SHOP|NO|BLOCK|TOWER|WING)(?: NO)? ?[A-Z]?[0-9]*[A-Z]? )+", "")
-    upto = F.coalesce(F.nullif(F.regexp_extract(n, rf"^(.*?(?:^| )(?:{W.BUILDING_SUFFIX}))(?: |$)", 1), F.lit("")), n)
-    tail = F.regexp_replace(upto, r"^.*(?:^| )(?:CROSS|MAIN|ROAD|BLOCK|FLOOR|STAGE|PHASE|SECTOR|[0-9]+(?:ST|ND|RD|TH)) ", "")
-    kept = F.when(F.length(tail) >= 4, tail).otherwise(upto)
-    return F.when(~F.coalesce(T.rejected_name(kept), F.lit(True)), kept)
+    upto = lambda n: F.coalesce(F.nullif(F.regexp_extract(n, rf"^(.*?(?:^| )(?:{W.BUILDING_SUFFIX}))(?: |$)", 1), F.lit("")), n)
+    tail = lambda u: F.regexp_replace(u, r"^.*(?:^| )(?:CROSS|MAIN|ROAD|BLOCK|FLOOR|STAGE|PHASE|SECTOR|[0-9]+(?:ST|ND|RD|TH)) ", "")
+    kept = T.let(T.let(n, upto), lambda u: T.let(tail(u), lambda t: F.when(F.length(t) >= 4, t).otherwise(u)))
+    return T.let(kept, lambda k: F.when(~F.coalesce(T.rejected_name(k), F.lit(True)), k))
 
 
 def compound_building(norm: Column) -> Column:
@@ -89,11 +89,12 @@ def one_word_layout(norm: Column, locality: Column) -> Column:
 
 
 def before_bldg(norm: Column) -> Column:
-    return _unless(_first(norm, rf"((?:{WORD} ){{0,3}}{WORD}) (?:BLDG|BUILDING)(?: |$)"), W.BUILDING_STOP)
+    there = norm.contains("BLDG") | norm.contains("BUILDING")
+    return F.when(there, _unless(_first(norm, rf"((?:{WORD} ){{0,3}}{WORD}) (?:BLDG|BUILDING)(?: |$)"), W.BUILDING_STOP))
 
 
 def residence(norm: Column) -> Column:
-    return _first(norm, rf"((?:{WORD} ){{1,4}}RESIDENCE)(?: |$)")
+    return F.when(norm.contains("RESIDENCE"), _first(norm, rf"((?:{WORD} ){{1,4}}RESIDENCE)(?: |$)"))
 
 
 def society(norm: Column, locality: Column) -> Column:
@@ -157,8 +158,8 @@ def locality_as_building(norm: Column, locality: Column) -> Column:
 
 def first_building(norm: Column) -> Column:
     """What the text itself names: by its ending, a compound word, after the unit, a layout."""
-    after = after_unit(norm)
-    return F.coalesce(trimmed_building(T.building_by_ending(norm)), compound_building(norm), F.when(T.valid_building(after), after), layout_building(norm))
+    after = T.let(after_unit(norm), lambda a: F.when(T.valid_building(a), a))
+    return F.coalesce(trimmed_building(T.building_by_ending(norm)), compound_building(norm), after, layout_building(norm))
 
 
 def fallback_building(norm: Column, locality: Column, named_area: Column | None = None) -> Column:

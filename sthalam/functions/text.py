@@ -102,8 +102,8 @@ def restore_ordinals(c: Column) -> Column:
 def clean_locality(c: Column) -> Column:
     """Without post-office marks and brackets; null where fewer than three letters beside city words remain."""
     x = squeeze(F.regexp_replace(F.regexp_replace(c, r"\([^)]*\) *$", " "), r"(?i)\b[SBHG]\.? ?[OP]\.?(?: *$| +(?=\())|\bG\.? *$", " "))
-    bare = F.regexp_replace(F.upper(x), r"BANGALORE|BENGALURU|KARNATAKA|INDIA|[^A-Z]", "")
-    return F.when(F.length(bare) >= 3, x)
+    bare = lambda x: F.regexp_replace(F.upper(x), r"BANGALORE|BENGALURU|KARNATAKA|INDIA|[^A-Z]", "")
+    return let(x, lambda x: F.when(F.length(bare(x)) >= 3, x))
 
 
 def named_as_landmark(words: Column, first: Column) -> Column:
@@ -124,9 +124,12 @@ def generic_name(norm: Column) -> Column:
 
 def rejected_name(norm: Column) -> Column:
     """Whether a building name is no name: empty, with a firm's or broken word, all short words, or a bare ending."""
-    w = tokens(norm)
-    has = lambda words: F.arrays_overlap(w, F.array(*(F.lit(x) for x in words)))
-    return F.coalesce(norm == "", F.lit(True)) | has(W.REJECT_WORDS) | F.forall(w, lambda x: F.length(x) <= 3) | ((F.size(w) == 2) & F.get(w, F.lit(0)).rlike("^[0-9]+$")) | ((F.size(w) == 1) & has(W.SUFFIX_WORDS)) | ((F.get(w, F.lit(1)) == "LAYOUT") & (F.length(F.get(w, F.lit(0))) <= 3))
+
+    def broken(w: Column) -> Column:
+        has = lambda words: F.arrays_overlap(w, F.array(*(F.lit(x) for x in words)))
+        return has(W.REJECT_WORDS) | F.forall(w, lambda x: F.length(x) <= 3) | ((F.size(w) == 2) & F.get(w, F.lit(0)).rlike("^[0-9]+$")) | ((F.size(w) == 1) & has(W.SUFFIX_WORDS)) | ((F.get(w, F.lit(1)) == "LAYOUT") & (F.length(F.get(w, F.lit(0))) <= 3))
+
+    return F.coalesce(norm == "", F.lit(True)) | let(tokens(norm), broken)
 
 
 def valid_building(norm: Column) -> Column:
@@ -160,7 +163,8 @@ def building_number(text: Column) -> Column:
 
 def building_by_ending(norm: Column) -> Column:
     """Up to five words and the word that ends a building's name."""
-    return F.nullif(F.regexp_extract(norm, rf"((?:[A-Z0-9]+ ){{1,5}}(?:{W.BUILDING_SUFFIX}))(?: |$)", 1), F.lit(""))
+    # the first match begins with a word, so inside of words none is tried
+    return F.nullif(F.regexp_extract(norm, rf"(?<![A-Z0-9])((?:[A-Z0-9]++ ){{1,5}}(?:{W.BUILDING_SUFFIX}))(?: |$)", 1), F.lit(""))
 
 
 def place_names_agree(a: Column, b: Column, cutoff: float = 0.85) -> Column:

@@ -145,7 +145,7 @@ def written_places(texts: DataFrame, places: DataFrame, *, scope: tuple[str, ...
 
 def best_place(texts: DataFrame, places: DataFrame, registered: DataFrame, *, scope: tuple[str, ...] = ()) -> DataFrame:
     """(id, name): of the places written in each text (id, `scope`…, pin, text), but for those inside a longer one, one that `registered` (pin, name) knows for the row's pin, then the longest."""
-    hits = M.without_nested(written_places(texts, places, scope=scope), "id").join(texts.select("id", "pin"), "id")
+    hits = M.without_nested(cut_lineage(written_places(texts, places, scope=scope)), "id").join(texts.select("id", "pin"), "id")
     hits = hits.join(registered.select("pin", "name").distinct().withColumn("ok", F.lit(True)), ["pin", "name"], "left")
     return hits.groupBy("id").agg(F.max(F.struct(F.coalesce("ok", F.lit(False)).alias("ok"), F.length("name").alias("l"), "name")).alias("t")).select("id", "t.name")
 
@@ -161,7 +161,8 @@ def respelt(values: DataFrame, places: DataFrame, *, scope: str = "city_key") ->
     p = places.select(scope, "name").distinct()
     same = v.join(p.withColumn("value", F.col("name")), [scope, "value"]).select(scope, "value", "name")
     left = v.join(same, [scope, "value"], "left_anti").withColumn("a", letters(F.col("value"))).where("length(a) >= 8")
-    near = M.fuzzy_pairs(left, p.withColumn("b", letters(F.col("name"))), [scope], 92.0)
+    p = p.withColumn("b", letters(F.col("name")))
+    near = left.join(M.near_pairs(left, p, [scope], 92.0), [scope, "a"]).join(p, [scope, "b"])
     return same.unionByName(near.groupBy(scope, "value").agg(F.max_by("name", F.struct("score", "name")).alias("name")))
 
 

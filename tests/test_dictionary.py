@@ -136,3 +136,22 @@ def test_reviews(spark):
     s = B.review_sample(d, 3)
     assert s.columns == B.REVIEW and s.groupBy("dotcom_match_rule").count().orderBy("dotcom_match_rule").collect() == [("r1", 3), ("r2", 3)]
     assert B.reviewed(s.withColumn("verdict", F.lit(" WRONG "))).count() == 6 and B.reviewed(s).count() == 0
+
+
+def test_respelt_values_are_not_compared_with_every_place_of_their_city(spark, monkeypatch):
+    monkeypatch.setattr(M, "fuzzy_pairs", lambda *x, **k: pytest.fail("all pairs of a city are compared"))
+    v = spark.createDataFrame([("v", "KIMALO NAGARR"), ("v", "KIMALO NAGAR"), ("v", "KI MALO NAGAR"), ("v", "DUBENI"), ("w", "KIMALO NAGARR"), ("v", None)], "city_key string, value string")
+    p = spark.createDataFrame([("v", "KIMALO NAGAR"), ("v", "KIMALU NAGAR"), ("v", "DUBENA")], "city_key string, name string")
+    got = {tuple(x) for x in D.respelt(v, p).collect()}
+    assert got == {("v", "KIMALO NAGAR", "KIMALO NAGAR"), ("v", "KIMALO NAGARR", "KIMALO NAGAR"), ("v", "KI MALO NAGAR", "KIMALO NAGAR")}
+
+
+def test_building_by_ending_matches_as_if_tried_at_every_letter(spark):
+    import re
+
+    from sthalam.functions import words as W
+
+    texts = ["A B C D E F G TOWERS", "KIMALO TOWERS NEAR LAKE VILLA X", "TOWERS", "A TOWERSX", "NO 4 A1B HEIGHTS HEIGHTS", "A B C D E TOWER F G H I J K VILLA Q", ""]
+    want = [(m[1] if (m := re.search(rf"((?:[A-Z0-9]+ ){{1,5}}(?:{W.BUILDING_SUFFIX}))(?: |$)", x)) else None) for x in texts]
+    d = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    assert [r[1] for r in d.select("i", T.building_by_ending(F.col("x"))).orderBy("i").collect()] == want
